@@ -1,0 +1,23 @@
+"""Use the whole cluster for a small input that expands."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# 64 splits of the default 128 MiB: at most about 8 GiB ever go through the shuffle.
+SMALL_SPLITS = 64
+
+
+def spread(df: DataFrame, like: DataFrame | None = None, target: int | None = None) -> DataFrame:
+    """Deal the rows out over ``target`` tasks if the input is small and has fewer splits.
+
+    A file of one row group is one split, hence one task, however much work each
+    row causes later. An input of ``SMALL_SPLITS`` splits or more is returned as
+    it is, so a large table is never shuffled. Rows are dealt round-robin, so the
+    tasks are even whatever the values are. For a stream, ``like`` is the batch
+    frame over the same files.
+    """
+    batch = df if like is None else like
+    target = target or df.sparkSession.sparkContext.defaultParallelism
+    splits = batch.rdd.getNumPartitions()
+    return df if splits >= min(target, SMALL_SPLITS) else df.repartition(target)
