@@ -1,0 +1,190 @@
+import json
+import random
+
+import pytest
+from conftest import plan_of
+from pyspark.sql import types as T
+
+from tidemark.operators.decode import decode_changes
+from tidemark.operators.project import flatten
+from tidemark.schema import change_schema, narrow
+
+DROPPED = [
+    "hello",
+    "{",
+    "}",
+    '"key_1": "abc",',
+    '{"type":"r"',
+    "",
+    "   ",
+    None,
+    "null",
+    '"abc"',
+    '[{"type":"r"}]',
+    '{"type":NaN}',
+    "{'type':'r'}",
+]
+
+KEPT = [
+    ("{}", {}),
+    ('{"type":"r"}', {"type": "r"}),
+    ('{"type":null}', {}),
+    ('{"type":"r","data":null}', {"type": "r"}),
+    ('{"type":"r","timestamp":"abc"}', {"type": "r"}),
+    ('{"type":"r","timestamp":"123"}', {"type": "r", "timestamp": 123}),
+    ('{"type":"r","timestamp":99999999999999999999}', {"type": "r"}),
+    ('{"type":"r","timestamp":1.5}', {"type": "r"}),
+    ('{"timestamp":-9223372036854775808}', {"timestamp": -(2**63)}),
+    ('{"timestamp":{"a":1},"operation":"o"}', {"operation": "o"}),
+    ('{"type":{"a":1},"timestamp":1}', {"type": '{"a":1}', "timestamp": 1}),
+    ('{"type":[1,2]}', {"type": "[1,2]"}),
+    ('{"type":true,"operation":7}', {"type": "true", "operation": "7"}),
+    ('{"type":"r","timestamp":1,"data":"oops"}', {"type": "r", "timestamp": 1}),
+    ('{"data":"oops"}', {}),
+    ('{"data":[],"type":"r"}', {"type": "r"}),
+    ('{"data":"{\\"asset\\":\\"x\\"}"}', {}),
+    ('{"data":{"asset":"a","zzz":1}}', {"asset": "a"}),
+    ('{"data":{"asset":{"q":"w"},"key_1":5}}', {"asset": '{"q":"w"}', "key_1": "5"}),
+    ('{"data":{"key_125":"z"},"extra":[{}]}', {"key_125": "z"}),
+    ('{"TYPE":"a"}', {}),
+    ('{"type":"a","type":"b"}', {"type": "b"}),
+    ('{"type":"\\u00fc \\n \\ud83d\\ude00"}', {"type": "ü \n 😀"}),
+]
+
+
+def flat_dict(row):
+    found = row.asDict()
+    found.pop("n", None)
+    return {name: value for name, value in found.items() if value is not None}
+
+
+def test_unparseable_records_give_no_row(values):
+    assert decode_changes(values(*DROPPED), change_schema()).count() == 0
+
+
+def test_bad_fields_become_null(numbered):
+    df = numbered([text for text, _ in KEPT])
+    rows = flatten(decode_changes(df, change_schema(), keep=("n",)), keep=("n",)).collect()
+    assert len(rows) == len(KEPT)
+    for row in rows:
+        assert flat_dict(row) == KEPT[row.n][1], KEPT[row.n][0]
+
+
+def test_narrow_schema_keeps_the_same_rows(numbered):
+    df = numbered([text for text, _ in KEPT] + DROPPED)
+    small = narrow(change_schema(), "operation")
+    rows = decode_changes(df, small, keep=("n",)).collect()
+    assert sorted(row.n for row in rows) == list(range(len(KEPT)))
+
+
+def test_output_schema_is_the_declared_one(values):
+    schema = change_schema(count=2)
+    assert decode_changes(values("{}"), schema).schema == schema
+
+
+def test_nested_fields_must_be_text(values):
+    wrong = T.StructType(
+        [T.StructField("data", T.StructType([T.StructField("n", T.LongType())]))]
+    )
+    with pytest.raises(ValueError):
+        decode_changes(values("{}"), wrong)
+
+
+def test_parsed_once_and_without_a_pushed_filter(spark, tmp_path):
+    path = str(tmp_path / "in")
+    spark.createDataFrame([("{}",)], "value string").write.text(path)
+    plan = plan_of(flatten(decode_changes(spark.read.text(path), change_schema(count=3))))
+    assert plan.count("Generate inline") == 1
+    assert plan.count("from_json") == 2  # the parse, and the second look at marked records
+    assert "Filter (" not in plan
+    assert "Exchange" not in plan
+    assert "Python" not in plan
+
+
+def expected(text):
+    """The decode in plain Python, one record at a time."""
+
+    def no_constant(name):
+        raise ValueError(name)
+
+    try:
+        root = json.loads(text, parse_constant=no_constant)
+    except ValueError:
+        return None
+    if not isinstance(root, dict):
+        return None
+
+    def as_text(value):
+        if value is None or isinstance(value, str):
+            return value
+        return json.dumps(value, separators=(",", ":"))
+
+    stamp = root.get("timestamp")
+    if isinstance(stamp, str):
+        stamp = int(stamp) if stamp.strip().lstrip("-").isdigit() else None
+    elif isinstance(stamp, bool) or not isinstance(stamp, int) or abs(stamp) >= 2**63:
+        stamp = None
+    data = root.get("data") if isinstance(root.get("data"), dict) else {}
+    return (as_text(root.get("type")), stamp, as_text(data.get("asset")), as_text(data.get("key_1")))
+
+
+def same_meaning(row):
+    """Nested JSON kept as text may escape its characters either way."""
+    return row and [
+        json.loads(value) if isinstance(value, str) and value[:1] in ("{", "[") else value
+        for value in row
+    ]
+
+
+def random_record(rng):
+    def scalar():
+        return rng.choice(
+            [None, True, False, rng.randint(-(10**6), 10**12), "", "ä€😀", '"', "\\", "a\tb", "123", "x" * 40]
+        )
+
+    def any_value():
+        return rng.choice([scalar(), [scalar(), scalar()], {"k": scalar()}])
+
+    record = {}
+    for name in rng.sample(["type", "timestamp", "data", "other", "TYPE"], rng.randint(0, 5)):
+        record[name] = any_value()
+    if rng.random() < 0.6:
+        record["data"] = {
+            name: any_value() for name in rng.sample(["asset", "key_1", "zzz"], rng.randint(0, 3))
+        }
+    if rng.random() < 0.5:
+        record["timestamp"] = rng.randint(0, 2**64)
+    return record
+
+
+def test_against_brute_force(numbered):
+    rng = random.Random(42)
+    texts = []
+    for _ in range(3000):
+        text = json.dumps(
+            random_record(rng), ensure_ascii=rng.random() < 0.5, separators=(",", ":")
+        )
+        damage = rng.random()
+        if damage < 0.2:
+            text = text[: rng.randrange(len(text))]
+        elif damage < 0.3:
+            text = f"[{text}]"
+        elif damage < 0.35:
+            text = text.replace('"', "'")
+        elif damage < 0.4:
+            text = text.replace(":", "", 1)
+        elif damage < 0.45:
+            text = f" \t{text} "
+        texts.append(text)
+    schema = narrow(change_schema(), "type", "timestamp", "data.asset", "data.key_1")
+    decoded = decode_changes(numbered(texts), schema, keep=("n",))
+    got = {
+        row.n: (row.type, row.timestamp, row.asset, row.key_1)
+        for row in decoded.select("n", "type", "timestamp", "data.asset", "data.key_1").collect()
+    }
+    want = {n: expected(text) for n, text in enumerate(texts)}
+    want = {n: row for n, row in want.items() if row is not None}
+    assert len(want) > 1000
+    assert got.keys() == want.keys()
+    for n, row in want.items():
+        assert same_meaning(got[n]) == same_meaning(row), texts[n]
