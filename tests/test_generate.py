@@ -106,10 +106,16 @@ def test_default_time_is_now_in_millis(spark):
 
 def test_draws_do_not_share_digits(spark):
     drawn = spark.range(1).select(digests(F.col("id"), 4).alias("d"))
-    texts = drawn.select(*[Draw(F.col("d"), slot).text() for slot in range(4)]).first()
+    texts = drawn.selectExpr(*[Draw("d", slot).text() for slot in range(4)]).first()
     assert len(set(texts)) == 4
 
 
+def test_pool_values_with_quotes(spark):
+    pool = ["it's", 'a "b"', "back\\slash"]
+    rows = spark.range(50).select(digests(F.col("id"), 1).alias("d"))
+    assert {r[0] for r in rows.selectExpr(Draw("d", 0).pick(pool)).collect()} == set(pool)
+
+
 def test_rate_stream(spark):
     stream = change_stream(spark, rows_per_second=5, count=2)
     assert stream.isStreaming

@@ -1,3 +1,6 @@
+import json
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,6 +30,14 @@ CASES = [
     ('{"eventTime":1,"message":2,"x":tru}', False),
     ('{"eventTime":1,"message":NaN}', False),
     ("eventTime message", False),
+    ('{"eventTime":null,"message":1}', True),
+    ('{"eventTime":1,"message":{"a":1,"a":[null]}}', True),
+    ('{"eventTime":"null"}', False),
+    ('{"eventTime":null,"message":null', False),
+    ('{"eventTime":null,"message":null,"x":tru}', False),
+    ('[{"eventTime":null,"message":null}]', False),
+    ('{"a":{"eventTime":null,"message":null}}', False),
+    ('{"eventTime":1,"message":2} trailing', True),
 ]
 
 
@@ -54,10 +65,42 @@ def test_other_keys(values):
         has_keys("value")
 
 
-def test_one_parse_for_all_keys(values):
-    df = require_keys(values("{}").select(F.concat("value", F.lit(" ")).alias("value")), "a", "b", "c")
-    condition = df._jdf.queryExecution().optimizedPlan().toString().split("Filter")[1]
-    assert condition.splitlines()[0].count("from_json") == 1
+def test_keys_that_differ_by_case(values):
+    df = values('{"a":1,"A":null}', '{"a":1}', '{"A":1}')
+    assert require_keys(df, "a", "A").count() == 1
+
+
+def test_parses_do_not_grow_with_the_keys(values):
+    df = values("{}").select(F.concat("value", F.lit(" ")).alias("value"))
+    for keys in (("a",), ("a", "b", "c")):
+        plan = require_keys(df, *keys)._jdf.queryExecution().optimizedPlan().toString()
+        condition = plan.split("Filter")[1].splitlines()[0]
+        assert condition.count("from_json") == 2  # the asked fields; the key set
+
+
+def test_against_brute_force(numbered):
+    rng = random.Random(7)
+    texts = []
+    for _ in range(3000):
+        names = rng.sample(["eventTime", "message", "other", "Message"], rng.randint(0, 4))
+        record = {
+            name: rng.choice([None, 1, "null", "", {"message": None}, [None], True]) for name in names
+        }
+        text = json.dumps(record, separators=rng.choice([(",", ":"), (", ", ": ")]))
+        if rng.random() < 0.3:
+            text = text[: rng.randrange(len(text) + 1)]
+        texts.append(text)
+
+    def expected(text):
+        try:
+            root = json.loads(text)
+        except ValueError:
+            return False
+        return isinstance(root, dict) and {"eventTime", "message"} <= root.keys()
+
+    kept = {row.n for row in require_keys(numbered(texts)).collect()}
+    assert kept == {n for n, text in enumerate(texts) if expected(text)}
+    assert len(kept) > 300
 
 
 def test_is_json_object(numbered):

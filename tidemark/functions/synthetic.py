@@ -13,10 +13,13 @@ slot uses 1-4 to decide whether the value is NULL, 5-8 to choose from a pool and
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.sql import sql_text
+
 
 def digests(row_id: Column, slots: int, seed: int = 0) -> Column:
     """Array of digests with room for ``slots`` draws.
@@ -34,31 +37,38 @@ def digests(row_id: Column, slots: int, seed: int = 0) -> Column:
     )
 
 
+@dataclass(frozen=True)
 class Draw:
-    """One slot of a digest array."""
+    """One slot of the digest array in column ``drawn``.
+
+    The values are given as SQL text. A record has over a hundred of them, and
+    handing them to Spark as one parsed expression takes milliseconds where
+    building each from column objects takes seconds.
+    """
 
-    def __init__(self, drawn: Column, slot: int):
-        self._digest = drawn[slot // 2]
-        self._start = 32 * (slot % 2)
+    drawn: str
+    slot: int
 
-    def _digits(self, first: int, length: int) -> Column:
-        return F.substring(self._digest, self._start + first, length)
+    def _digits(self, first: int, length: int) -> str:
+        start = 32 * (self.slot % 2) + first
+        return f"substring({self.drawn}[{self.slot // 2}], {start}, {length})"
 
-    def text(self) -> Column:
+    def text(self) -> str:
         """16 characters of 0-9, a-f."""
         return self._digits(9, 16)
 
-    def pick(self, pool: Sequence[str]) -> Column:
+    def pick(self, pool: Sequence[str]) -> str:
         """Uniform choice from a pool."""
-        index = F.conv(self._digits(5, 4), 16, 10).cast("int") % len(pool)
-        return F.element_at(F.array(*[F.lit(item) for item in pool]), index + 1)
+        items = ", ".join(sql_text(item) for item in pool)
+        index = f"cast(conv({self._digits(5, 4)}, 16, 10) AS int) % {len(pool)}"
+        return f"element_at(array({items}), {index} + 1)"
 
-    def or_null(self, value: Column, percent: int) -> Column:
+    def or_null(self, value: str, percent: int) -> str:
         """``value``, replaced by NULL for the given percentage of draws."""
         threshold = null_threshold(percent)
         if threshold is None:
-            return F.lit(None).cast("string")
-        return F.when(self._digits(1, 4) >= threshold, value)
+            return "cast(NULL AS string)"
+        return f"CASE WHEN {self._digits(1, 4)} >= '{threshold}' THEN {value} END"
 
 
 def null_threshold(percent: int) -> str | None:

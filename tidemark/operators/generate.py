@@ -12,9 +12,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.sql import sql_name, sql_text
 from tidemark.functions.synthetic import Draw, digests
 from tidemark.schema import (
-    ENVELOPE_FIELDS,
     KEY_COUNT,
     KEY_PREFIX,
     NAMED_PAYLOAD_FIELDS,
@@ -54,6 +54,7 @@ SLOTS = {
 FIRST_KEY_SLOT = 8
 
 _DRAWN = "_drawn"
+_ROW = "_row"
 
 
 def change_records(
@@ -79,7 +80,6 @@ def change_records(
         raise ValueError(f"not a named payload field: {', '.join(sorted(unknown))}")
     if timestamp_ms is None:
         timestamp_ms = F.unix_millis(F.current_timestamp())
-    names = key_names(prefix, count)
 
     # The digests are made once per row by one higher-order expression and read
     # by position below; a digest written out per field would exceed the size
@@ -92,38 +92,45 @@ def change_records(
     )
 
     def draw(slot: int) -> Draw:
-        return Draw(F.col(_DRAWN), slot)
+        return Draw(_DRAWN, slot)
 
-    def text(slot: int) -> Column:
+    def text(slot: int) -> str:
         return draw(slot).or_null(draw(slot).text(), null_percent)
 
-    def pooled(slot: int, pool: tuple[str, ...]) -> Column:
+    def pooled(slot: int, pool: Sequence[str]) -> str:
         return draw(slot).or_null(draw(slot).pick(pool), null_percent)
 
     named = {
-        "aliases": F.lit(None).cast("string"),
+        "aliases": "cast(NULL AS string)",
         "asset": text(SLOTS["asset"]),
         "asset_tag": text(SLOTS["asset_tag"]),
         "assigned_to": text(SLOTS["assigned_to"]),
         "attestation_status": pooled(SLOTS["attestation_status"], ATTESTATION_STATUS),
         "business_criticality": pooled(SLOTS["business_criticality"], BUSINESS_CRITICALITY),
     }
-    named.update({name: F.col(f"_{name}") for name in given})
-    numbered = {name: text(FIRST_KEY_SLOT + i) for i, name in enumerate(names)}
-    fields = {**named, **numbered}
-
+    named.update({name: sql_name(f"_{name}") for name in given})
+    numbered = {
+        name: text(FIRST_KEY_SLOT + i) for i, name in enumerate(key_names(prefix, count))
+    }
     envelope = {
-        "type": F.lit(RECORD_TYPE),
+        "type": sql_text(RECORD_TYPE),
         "operation": draw(SLOTS["operation"]).pick(OPERATIONS),
         "source_table": draw(SLOTS["source_table"]).pick(SOURCE_TABLES),
         "payload_sys_id": draw(SLOTS["payload_sys_id"]).text(),
-        "timestamp": F.col("timestamp"),
+        "timestamp": sql_name("timestamp"),
     }
-    return drawn.select(
-        *keep,
-        *[envelope[name].alias(name) for name in ENVELOPE_FIELDS],
-        F.struct(*[value.alias(name) for name, value in fields.items()]).alias(PAYLOAD),
-    )
+    record = {**envelope, PAYLOAD: _struct({**named, **numbered})}
+
+    # The row is made as one struct and unnested by a generator, because the
+    # optimizer does not merge a generator with the caller's projection or copy it
+    # into the caller's filter. Merged, the fields and their use become one
+    # generated method that is too long for the JVM to compile.
+    row = F.expr(_struct(record)).alias(_ROW)
+    return drawn.select(*keep, row).select(*keep, F.inline(F.array(_ROW)))
+
+
+def _struct(fields: Mapping[str, str]) -> str:
+    return f"struct({', '.join(f'{value} AS {sql_name(name)}' for name, value in fields.items())})"
 
 
 def change_stream(spark: SparkSession, rows_per_second: int = 1, **options) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.sql import sql_name
 from tidemark.operators.decode import decode_changes
 from tidemark.operators.encode import encode_rows
 from tidemark.operators.filters import require_keys
@@ -256,7 +257,9 @@ def gen_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gen_null_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = inputs.event_changes(_events(spark, sf_dir)).select(f"{PAYLOAD}.*")
-    counts = changes.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in changes.columns])
+    counts = changes.selectExpr(
+        *[f"count_if({sql_name(name)} IS NULL) AS {sql_name(name)}" for name in changes.columns]
+    )
     return counts.unpivot([], counts.columns, "key", "null_count")
 
 
