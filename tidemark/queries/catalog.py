@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.sql import sql_name
+from tidemark.functions.sql import sql_name, sql_text
 from tidemark.operators.decode import decode_changes
 from tidemark.operators.encode import encode_rows
 from tidemark.operators.filters import require_keys
@@ -260,7 +260,12 @@ def gen_null_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = changes.selectExpr(
         *[f"count_if({sql_name(name)} IS NULL) AS {sql_name(name)}" for name in changes.columns]
     )
-    return counts.unpivot([], counts.columns, "key", "null_count")
+    # One row by now. ``unpivot`` gives the same rows, seconds slower at this width.
+    pairs = [
+        f"struct({sql_text(name)} AS key, {sql_name(name)} AS null_count)"
+        for name in counts.columns
+    ]
+    return counts.selectExpr(f"inline(array({', '.join(pairs)}))")
 
 
 def _sql_gen_changes() -> str:
