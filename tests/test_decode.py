@@ -3,6 +3,7 @@ import random
 
 import pytest
 from conftest import plan_of
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.decode import decode_changes
@@ -90,6 +91,17 @@ def test_nested_fields_must_be_text(values):
         decode_changes(values("{}"), wrong)
 
 
+def test_kept_columns_must_not_clash(values):
+    df = values("{}").withColumn("type", F.lit("x"))
+    with pytest.raises(ValueError):
+        decode_changes(df, change_schema(), keep=("type",))
+
+
+def test_text_after_the_root_is_ignored(values):
+    rows = decode_changes(values('{"type":"r"} {"type":"s"} x'), change_schema()).collect()
+    assert [row.type for row in rows] == ["r"]
+
+
 def test_parsed_once_and_without_a_pushed_filter(spark, tmp_path):
     path = str(tmp_path / "in")
     spark.createDataFrame([("{}",)], "value string").write.text(path)

@@ -65,6 +65,11 @@ def test_other_keys(values):
         has_keys("value")
 
 
+def test_odd_key_names(values):
+    df = values('{"a.b":1,"c`d":null}', '{"a":{"b":1},"c`d":1}')
+    assert require_keys(df, "a.b", "c`d").count() == 1
+
+
 def test_keys_that_differ_by_case(values):
     df = values('{"a":1,"A":null}', '{"a":1}', '{"A":1}')
     assert require_keys(df, "a", "A").count() == 1

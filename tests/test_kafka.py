@@ -1,5 +1,6 @@
 import pytest
 
+from tidemark.plans import jobs
 from tidemark.plans.cli import build_parser, kafka_config, landing_job
 from tidemark.plans.config import FlatLandingJob, LandingJob
 from tidemark.schema import flat_schema
@@ -21,11 +22,13 @@ def test_scaling_and_extra_options():
         "b:1",
         "t",
         starting_offsets="latest",
+        max_records_per_partition=10**6,
         min_partitions=400,
         max_offsets_per_trigger=10**9,
         extra={"failOnDataLoss": "false"},
     ).read_options()
     assert options["startingOffsets"] == "latest"
+    assert options["maxRecordsPerPartition"] == "1000000"
     assert options["minPartitions"] == "400"
     assert options["maxOffsetsPerTrigger"] == "1000000000"
     assert options["failOnDataLoss"] == "false"
@@ -79,6 +82,20 @@ def test_bytes_to_text(spark):
         utf8_text("value", "other")
 
 
+@pytest.mark.parametrize("own, used", [(None, 128 * 1024), (5, 5)])
+def test_a_task_reads_one_file_of_records(spark, monkeypatch, tmp_path, own, used):
+    asked = []
+
+    def values(session, config):
+        asked.append(config)
+        return session.createDataFrame([("x",)], "value string")
+
+    monkeypatch.setattr(jobs, "kafka_values", values)
+    config = KafkaConfig("b:1", "t", max_records_per_partition=own)
+    jobs.land_raw(spark, LandingJob(str(tmp_path / "out"), kafka=config))
+    assert asked[0].read_options()["maxRecordsPerPartition"] == str(used)
+
+
 def parse(*argv):
     return build_parser().parse_args(argv)
 

@@ -48,8 +48,9 @@ def decode_changes(
     when one field is; only those marked records are looked at again, to see
     whether their root is an object.
     """
-    if _CORRUPT in schema.names:
-        raise ValueError(f"{_CORRUPT} is a reserved name")
+    taken = ({_CORRUPT} & set(schema.names)) | (set(keep) & {_CORRUPT, *schema.names})
+    if taken:
+        raise ValueError(f"column names taken: {', '.join(sorted(taken))}")
     parse_schema = T.StructType(
         [*_as_text(schema).fields, T.StructField(_CORRUPT, T.StringType())]
     )

@@ -7,6 +7,8 @@ before the function returns, a stream is started and its query returned.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -28,7 +30,12 @@ def _values(spark: SparkSession, job: LandingJob, values: DataFrame | None) -> D
         return values
     if job.kafka is None:
         raise ValueError("the job has no kafka settings and no values were given")
-    return kafka_values(spark, job.kafka)
+    kafka = job.kafka
+    if kafka.max_records_per_partition is None:
+        # A task then reads about what fits in one landed file, and the number of
+        # tasks follows the records, not the partitions of the topic.
+        kafka = replace(kafka, max_records_per_partition=job.policy.max_records())
+    return kafka_values(spark, kafka)
 
 
 def land_raw(

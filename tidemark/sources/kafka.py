@@ -55,8 +55,9 @@ class KafkaConfig:
     the position is the checkpoint's. ``group_id`` is a label for the brokers'
     access rules and monitoring: Spark keeps no position in the group.
 
-    ``min_partitions`` splits large Kafka partitions over more tasks, so that a
-    topic where one partition holds most of the records still uses the cluster;
+    A topic partition is one task unless it is split. ``max_records_per_partition``
+    splits by size, so that a partition holding most of the records becomes many
+    tasks; ``min_partitions`` asks for a number of tasks whatever the size.
     ``max_offsets_per_trigger`` bounds a batch, which matters for the first batch
     of an old topic read from the earliest offset.
     """
@@ -66,6 +67,7 @@ class KafkaConfig:
     group_id: str | None = None
     starting_offsets: str = EARLIEST
     security: KafkaSecurity | None = None
+    max_records_per_partition: int | None = None
     min_partitions: int | None = None
     max_offsets_per_trigger: int | None = None
     extra: Mapping[str, str] = field(default_factory=dict)
@@ -89,6 +91,8 @@ class KafkaConfig:
         }
         if self.group_id:
             options["kafka.group.id"] = self.group_id
+        if self.max_records_per_partition:
+            options["maxRecordsPerPartition"] = str(self.max_records_per_partition)
         if self.min_partitions:
             options["minPartitions"] = str(self.min_partitions)
         if self.max_offsets_per_trigger:
