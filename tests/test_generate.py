@@ -46,6 +46,14 @@ def test_texts(flat):
     assert found.is_unique
 
 
+def test_mixed_text(spark):
+    rows = flatten(change_records(spark.range(300), mixed_text=True)).toPandas()
+    found = rows[["payload_sys_id", "asset", *key_names()]].stack().dropna()
+    assert found.map(lambda text: bool(re.fullmatch("[A-Za-z0-9]{16}", text))).all()
+    assert found.is_unique
+    assert len(set("".join(found))) == 62
+
+
 def test_null_share(flat):
     named = ["asset", "asset_tag", "assigned_to", "attestation_status", "business_criticality"]
     share = flat[[*named, *key_names()]].isna().mean()

@@ -25,6 +25,7 @@ BATCH_WITHOUT_AGGREGATION = [
     "json_has_keys",
     "json_has_null_key",
     "gen_change_records",
+    "gen_mixed_text",
 ]
 
 

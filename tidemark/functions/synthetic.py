@@ -7,7 +7,7 @@ executor and under any partitioning, makes the same row again.
 
 A sha-256 digest has 64 hex digits and serves two slots. Within its 32 digits a
 slot uses 1-4 to decide whether the value is NULL, 5-8 to choose from a pool and
-9-24 as text, so the three decisions are independent of each other.
+9-32 as text, so the three decisions are independent of each other.
 """
 
 from __future__ import annotations
@@ -57,6 +57,10 @@ class Draw:
         """16 characters of 0-9, a-f."""
         return self._digits(9, 16)
 
+    def mixed_text(self) -> str:
+        """16 characters of A-Z, a-z, 0-9: base64 with its two other symbols replaced."""
+        return f"translate(base64(unhex({self._digits(9, 24)})), '+/', 'Aa')"
+
     def pick(self, pool: Sequence[str]) -> str:
         """Uniform choice from a pool."""
         items = ", ".join(sql_text(item) for item in pool)

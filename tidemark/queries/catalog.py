@@ -249,6 +249,14 @@ def gen_change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten(_order_changes(spark, sf_dir))
 
 
+def gen_mixed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = inputs.table(spark, sf_dir, "orders", "o_orderkey")
+    rows = change_records(
+        orders, row_id="o_orderkey", timestamp_ms=F.col("o_orderkey"), mixed_text=True
+    )
+    return flatten(rows)
+
+
 def gen_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{workspace(spark, 'gen_landing')}/landed"
     land_text(encode_rows(_order_changes(spark, sf_dir)), path)
@@ -273,6 +281,11 @@ def _sql_gen_changes() -> str:
     return oracle.select(fields, oracle.drawn("orders", "o_orderkey", seed=GENERATED_SEED))
 
 
+def _sql_gen_mixed() -> str:
+    fields = oracle.record("o_orderkey", {}, mixed=True)
+    return oracle.select(fields, oracle.drawn("orders", "o_orderkey"))
+
+
 def _sql_events(names, where: str | None = None) -> str:
     return oracle.select(oracle.event_record(), oracle.EVENTS, names, where)
 
@@ -337,6 +350,7 @@ CATALOG: dict[str, Query] = {
         restart_no_duplicates, "SELECT props AS value, count(*) AS n FROM events GROUP BY props"
     ),
     "gen_change_records": Query(gen_change_records, _sql_gen_changes()),
+    "gen_mixed_text": Query(gen_mixed_text, _sql_gen_mixed()),
     "gen_landing": Query(gen_landing, _sql_gen_changes()),
     "gen_null_share": Query(gen_null_share, oracle.null_shares()),
 }

@@ -27,7 +27,9 @@ def _digits(slot: int, first: int, length: int) -> str:
     return f"substr(d[{slot // 2 + 1}], {32 * (slot % 2) + first}, {length})"
 
 
-def _text(slot: int) -> str:
+def _text(slot: int, mixed: bool = False) -> str:
+    if mixed:
+        return f"translate(to_base64(unhex({_digits(slot, 9, 24)})), '+/', 'Aa')"
     return _digits(slot, 9, 16)
 
 
@@ -51,18 +53,20 @@ def drawn(source: str, row_id: str, count: int = KEY_COUNT, seed: int = 0) -> st
     )
 
 
-def record(timestamp: str, payload: dict[str, str], count: int = KEY_COUNT) -> dict[str, str]:
+def record(
+    timestamp: str, payload: dict[str, str], count: int = KEY_COUNT, mixed: bool = False
+) -> dict[str, str]:
     """Field name to SQL expression over a ``drawn`` table."""
     fields = {
         "type": f"'{RECORD_TYPE}'",
         "operation": _pick(SLOTS["operation"], OPERATIONS),
         "source_table": _pick(SLOTS["source_table"], SOURCE_TABLES),
-        "payload_sys_id": _text(SLOTS["payload_sys_id"]),
+        "payload_sys_id": _text(SLOTS["payload_sys_id"], mixed),
         "timestamp": timestamp,
         "aliases": "NULL::VARCHAR",
     }
     for name in ("asset", "asset_tag", "assigned_to"):
-        fields[name] = _or_null(SLOTS[name], _text(SLOTS[name]))
+        fields[name] = _or_null(SLOTS[name], _text(SLOTS[name], mixed))
     pools = {
         "attestation_status": ATTESTATION_STATUS,
         "business_criticality": BUSINESS_CRITICALITY,
@@ -71,7 +75,7 @@ def record(timestamp: str, payload: dict[str, str], count: int = KEY_COUNT) -> d
         fields[name] = _or_null(SLOTS[name], _pick(SLOTS[name], pool))
     fields.update(payload)
     for i, name in enumerate(key_names(count=count)):
-        fields[name] = _or_null(FIRST_KEY_SLOT + i, _text(FIRST_KEY_SLOT + i))
+        fields[name] = _or_null(FIRST_KEY_SLOT + i, _text(FIRST_KEY_SLOT + i, mixed))
     return fields
 
 
