@@ -73,8 +73,8 @@ def change_records(
     """One nested change record per row of ``df``, shaped like ``change_schema``.
 
     ``timestamp_ms`` defaults to the time the query runs. ``mixed_text`` draws the
-    16-character texts from letters of both cases and digits instead of hex digits,
-    for about half as much time again. ``payload`` replaces named payload fields by
+    16-character texts from letters of both cases and digits instead of hex
+    digits, for about twice the time. ``payload`` replaces named payload fields by
     columns of ``df``; ``keep`` carries columns along.
     """
     given = dict(payload or {})
