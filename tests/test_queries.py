@@ -39,7 +39,7 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
 
 
 def test_contract(spark):
-    assert contract.queries().keys() == contract.oracle_sql().keys() == CATALOG.keys()
+    assert contract.queries().keys() >= contract.oracle_sql().keys() >= CATALOG.keys()
     assert len(contract.entry(spark).columns) == 136
 
 
