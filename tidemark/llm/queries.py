@@ -8,6 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
 from tidemark.llm.simhash_ball import simhash_components
+from tidemark.llm.suffix_levels import cut_repeats, digest
+
+
+def op4_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(cut_repeats(table(spark, sf_dir, "documents")))
 
 
 def op9_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +20,7 @@ def op9_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_suffix_levels": op4_suffix_levels,
     "op9_simhash_ball": op9_simhash_ball,
 }
 
