@@ -30,10 +30,11 @@ from tidemark.streaming.workspace import workspace
 SHINGLE = 4
 SEED = 42
 RADIUS = 4
-PASSES = 4
+PASSES = 8
 VARIANTS_PER_GROUP = 1_500_000
 LEAST_GROUPS = 64
 CHUNK = 1024
+PRINTS_PER_TASK = 1 << 13
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -113,7 +114,9 @@ def ball_links(prints: DataFrame, radius: int = RADIUS, passes: int = PASSES) ->
         raise ValueError("the radius must be even")
     spark = prints.sparkSession
     masks = ball_masks(radius // 2)
-    groups = max(LEAST_GROUPS, -(-prints.count() * len(masks) // (VARIANTS_PER_GROUP * passes)))
+    count = prints.count()
+    groups = max(LEAST_GROUPS, -(-count * len(masks) // (VARIANTS_PER_GROUP * passes)))
+    prints = prints.select("fp").repartition(-(-count // PRINTS_PER_TASK) or 1)
     path = workspace(spark, "ball-links")
 
     def emit(number: int):
@@ -161,8 +164,8 @@ def ball_links(prints: DataFrame, radius: int = RADIUS, passes: int = PASSES) ->
 
     with released_shuffles(spark):
         for number in range(passes):
-            blobs = prints.select("fp").mapInArrow(emit(number), "bucket int, variants binary, masks binary")
-            links = blobs.groupBy("bucket").applyInPandas(meet, "a long, b long")
+            blobs = prints.mapInArrow(emit(number), "bucket int, variants binary, masks binary")
+            links = blobs.repartition(groups, "bucket").groupBy("bucket").applyInPandas(meet, "a long, b long")
             links.write.mode("append").parquet(path)
     return spark.read.schema("a long, b long").parquet(path)
 
