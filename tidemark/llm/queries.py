@@ -7,8 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
+from tidemark.llm.quality_pu import quality
 from tidemark.llm.simhash_ball import simhash_components
 from tidemark.llm.suffix_levels import cut_repeats, digest
+from tidemark.llm.toxicity_pu import toxicity
+
+
+def op3_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op4_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,7 +30,9 @@ def op9_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_toxicity_pu": op3_toxicity_pu,
     "op4_suffix_levels": op4_suffix_levels,
+    "op5_quality_pu": op5_quality_pu,
     "op9_simhash_ball": op9_simhash_ball,
 }
 
