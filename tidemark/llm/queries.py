@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
+from tidemark.llm.contained import contained, contained_sql
 from tidemark.llm.quality_pu import quality
 from tidemark.llm.simhash_ball import simhash_components
 from tidemark.llm.suffix_levels import cut_repeats, digest
@@ -29,11 +30,16 @@ def op9_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op10_contained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity_pu": op3_toxicity_pu,
     "op4_suffix_levels": op4_suffix_levels,
     "op5_quality_pu": op5_quality_pu,
     "op9_simhash_ball": op9_simhash_ball,
+    "op10_contained": op10_contained,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op10_contained": contained_sql()}
