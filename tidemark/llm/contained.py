@@ -17,6 +17,8 @@ that the same join is shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,21 +36,32 @@ def words(text: Column) -> Column:
     return F.filter(parts, lambda word: word != "")
 
 
-def shingle_hashes(size: int) -> Column:
-    """A hash of each shingle of the array column ``hashes`` of word hashes."""
-    at = [f"element_at(hashes, i + {k})" for k in range(size)]
-    return F.expr(
-        f"CASE WHEN size(hashes) >= {size} THEN"
-        f" transform(sequence(1, size(hashes) - {size - 1}), i -> xxhash64({', '.join(at)}))"
-        f" ELSE cast(array() AS array<bigint>) END"
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once per row: a plain column would be copied into every lambda."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def shingle_hashes(hashes: Column, size: int) -> Column:
+    """A hash of each shingle of an array of word hashes; none if there are fewer words."""
+    return once(
+        hashes,
+        lambda h: F.when(
+            F.size(h) >= size,
+            F.transform(
+                F.sequence(F.lit(0), F.size(h) - size), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(size)])
+            ),
+        ).otherwise(F.expr("cast(array() AS array<bigint>)")),
     )
 
 
-def shingle_texts(size: int) -> Column:
-    """The shingles of the array column ``words``; none if there are fewer words."""
-    return F.expr(
-        f"CASE WHEN size(words) >= {size} THEN transform(sequence(1, size(words) - {size - 1}),"
-        f" i -> array_join(slice(words, i, {size}), ' ')) ELSE cast(array() AS array<string>) END"
+def shingle_texts(words: Column, size: int) -> Column:
+    """The shingles of an array of words; none if there are fewer words."""
+    return once(
+        words,
+        lambda w: F.when(
+            F.size(w) >= size,
+            F.transform(F.sequence(F.lit(1), F.size(w) - size + 1), lambda i: F.array_join(F.slice(w, i, size), " ")),
+        ).otherwise(F.expr("cast(array() AS array<string>)")),
     )
 
 
@@ -74,7 +87,7 @@ def contained(
     wanted = items.select(F.col(f"`{item_col}`").alias("item"), words(F.col(f"`{item_text}`")).alias("words"))
     shingles = written(
         wanted.where("item IS NOT NULL")
-        .select("item", F.explode(shingle_texts(size)).alias("shingle"))
+        .select("item", F.explode(shingle_texts(F.col("words"), size)).alias("shingle"))
         .distinct()
         .withColumn("hash", F.expr("xxhash64(" + ", ".join(f"xxhash64(split(shingle, ' ')[{k}])" for k in range(size)) + ")")),
         "contained-items",
@@ -93,9 +106,10 @@ def contained(
     )
     few = sketches.count() <= broadcast_rows
     probes = (
-        rows.select("doc", F.transform(words(F.col("text")), lambda word: F.xxhash64(word)).alias("hashes"))
-        .select("doc", shingle_hashes(size).alias("found"))
-        .select("doc", F.explode("found").alias("hash"))
+        rows.select(
+            "doc",
+            F.explode(shingle_hashes(F.transform(words(F.col("text")), lambda w: F.xxhash64(w)), size)).alias("hash"),
+        )
     )
     met = probes.join(F.broadcast(sketches) if few else sketches, "hash")
     candidates = written(met.groupBy("doc", "item").agg(F.count("*").alias("met")).select("doc", "item"), "contained-pairs")
@@ -104,8 +118,7 @@ def contained(
     suspects = written(candidates.select("doc").distinct(), "contained-suspects")
     held = (
         rows.join(suspects, "doc", "left_semi")
-        .select("doc", words(F.col("text")).alias("words"))
-        .select("doc", F.explode(shingle_texts(size)).alias("shingle"))
+        .select("doc", F.explode(shingle_texts(words(F.col("text")), size)).alias("shingle"))
     )
     shared = (
         held.join(F.broadcast(shingles) if few and shingles.count() <= broadcast_rows else shingles, "shingle")
