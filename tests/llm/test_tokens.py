@@ -1,0 +1,64 @@
+import public_tokenizers
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tidemark.llm.tokens import Encoder
+
+FILES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
+ODD = [
+    None, "", " ", "a", " a", "a ", "a  b", "a   b \n\n c\n", "don't  stop\n\n x y ", "İ ǅ ß ﬁ é é ΑΣ Σ", "<|endoftext|> 12345 ٣٤",
+    "'S 'T I'LL we'll", "a\x1fb\x85c d", "\x1c x\x1d", "ſ K Ⅷ x² ½", "\0 a\0b c", "a b 　 c", "日本語 テキスト", "\U0001f600 a",
+    "x " * 5000,
+]
+
+
+def plain(path):
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.fixture(scope="module", params=FILES)
+def pair(request):
+    path = public_tokenizers.path(request.param)
+    return Encoder(path), plain(path), path
+
+
+def test_tables_and_odd_texts(pair, sf_dir):
+    encoder, want, path = pair
+    texts = ODD + pq.read_table(f"{sf_dir}/documents.parquet")["text"].to_pylist()
+    got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode_all(texts)]
+    assert got == [want(x) for x in texts]
+    few = Encoder(path, end=7, known=40)
+    assert [np.frombuffer(x, "<u4").tolist() for x in few.encode_all(texts[:60])] == [[*x, 7] for x in got[:60]]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from(list(" \n\t\x1c\0 'aAbsté1²Σ.,!é́")) | st.characters(exclude_categories=["Cs"]), max_size=30))
+def test_any_text(text):
+    for name in FILES:
+        path = public_tokenizers.path(name)
+        encoder, want = CACHE.setdefault(name, (Encoder(path), plain(path)))
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want(text)
+
+
+CACHE = {}
+
+
+def test_long_texts_are_cut_at_a_safe_place(pair):
+    encoder, want, _ = pair
+    text = "Thé  quick, brown\nfox's 12 " * 90_000
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want(text)
+
+
+def test_other_kinds_are_refused(tmp_path):
+    path = tmp_path / "t.json"
+    Tokenizer.from_file(public_tokenizers.path(FILES[0])).save(str(path))
+    text = path.read_text().replace('"ByteLevel"', '"Whitespace"', 1)
+    path.write_text(text)
+    with pytest.raises(Exception):  # noqa: B017
+        Encoder(str(path))

@@ -11,6 +11,7 @@ from tidemark.llm.contained import contained, contained_sql
 from tidemark.llm.quality_pu import quality
 from tidemark.llm.simhash_ball import simhash_components
 from tidemark.llm.suffix_levels import cut_repeats, digest
+from tidemark.llm.token_files import token_digest
 from tidemark.llm.toxicity_pu import toxicity
 
 
@@ -26,6 +27,21 @@ def op4_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(cut_repeats(table(spark, sf_dir, "documents")))
 
 
+def tokenizer_file(name: str) -> Callable[[], str]:
+    """Where a tokenizer file of the installed package is, asked on the machine that needs it."""
+
+    def path() -> str:
+        import public_tokenizers
+
+        return public_tokenizers.path(name)
+
+    return path
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digest(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op9_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
@@ -38,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity_pu": op3_toxicity_pu,
     "op4_suffix_levels": op4_suffix_levels,
     "op5_quality_pu": op5_quality_pu,
+    "op6_token_files": op6_token_files,
     "op9_simhash_ball": op9_simhash_ball,
     "op10_contained": op10_contained,
 }
