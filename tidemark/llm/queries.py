@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
 from tidemark.llm.contained import contained, contained_sql
+from tidemark.llm.packing_slack import packing_digest
 from tidemark.llm.quality_pu import quality
 from tidemark.llm.simhash_ball import simhash_components
 from tidemark.llm.suffix_levels import cut_repeats, digest
@@ -42,6 +43,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op7_packing_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing_digest(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def op9_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffix_levels": op4_suffix_levels,
     "op5_quality_pu": op5_quality_pu,
     "op6_token_files": op6_token_files,
+    "op7_packing_slack": op7_packing_slack,
     "op9_simhash_ball": op9_simhash_ball,
     "op10_contained": op10_contained,
 }
