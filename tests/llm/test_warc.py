@@ -1,0 +1,84 @@
+import gzip
+import hashlib
+import io
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm.warc import WarcError, archive_digest, archive_sql, page_record, read_archives, read_records, record_bytes, write_archives
+
+
+def sha(data):
+    return hashlib.sha256(data).hexdigest()
+
+
+def page(i, payload, first=None):
+    return page_record(i, f"http://x/{i}", payload, sha(payload), first)
+
+
+PAYLOADS = [b"", b"a\r\n\r\nWARC/1.1\r\n", bytes(range(256)) * 900, "é\0".encode() * 10]
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 1 << 16])
+def test_reader_round_trip(chunk):
+    members = [page(i, p) for i, p in enumerate(PAYLOADS)] + [page(9, PAYLOADS[2], 2)]
+    data = b"".join(members)
+    records = list(read_records(io.BytesIO(data), chunk))
+    assert [r.http()[1] for r in records] == [*PAYLOADS, b""]
+    assert records[-1]["WARC-Refers-To"] == "<urn:page:2>" and records[-1]["warc-type"] == "revisit"
+    assert gzip.decompress(data).count(b"WARC-Record-ID") == 5
+
+
+@pytest.mark.parametrize(
+    "spoil",
+    [
+        lambda d: d[:-3],
+        lambda d: d + b"junk",
+        lambda d: gzip.compress(gzip.decompress(d).replace(b"hello", b"hullo")),
+        lambda d: gzip.compress(gzip.decompress(d) + b"x"),
+        lambda d: gzip.compress(gzip.decompress(d)[:-1]),
+        lambda d: gzip.compress(b"WARC/1.1\r\nWARC-Type: response\r\n\r\n\r\n\r\n"),
+        lambda d: gzip.compress(b"no record"),
+        lambda d: gzip.compress(gzip.decompress(d) * 2),
+    ],
+)
+def test_damage_is_an_error(spoil):
+    with pytest.raises(WarcError):
+        list(read_records(io.BytesIO(spoil(page(1, b"hello")))))
+
+
+def test_digest_forms():
+    import base64
+
+    block = b"x"
+    for text in ("sha1:" + base64.b32encode(hashlib.sha1(block).digest()).decode(), "sha1:" + hashlib.sha1(block).hexdigest()):
+        made = record_bytes([("WARC-Type", "resource")], block)
+        raw = gzip.decompress(made).replace(f"sha256:{sha(block)}".encode(), text.encode())
+        assert next(read_records(io.BytesIO(gzip.compress(raw)))).block == block
+
+
+def test_tables(spark, sf_dir, tmp_path):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    big = "y" * 100
+    more = [(-1, None, None), (-2, "u\r\nX: 1", ""), (-3, "é", big), (-4, None, big), (-5, "", big), (-6, "", "z" * 99), (-7, "", "z" * 99),
+            (-8, "", "é" * 50), (-9, "", "é" * 50), (-9, "", "é" * 50)]
+    pages = pages.union(spark.createDataFrame(more, "page_id long, url string, html string")).withColumn("digest", F.lit(0))
+    connection = duckdb.connect()
+    connection.register("pages", pages.select("page_id", "html").toPandas())
+    want = sorted(connection.execute(archive_sql()).fetchall(), key=str)
+    assert sorted(map(tuple, archive_digest(pages).collect()), key=str) == want
+    assert {(-9, "response"), (-4, "revisit")} <= {(r[0], r[3]) for r in want}
+    archives = write_archives(pages, str(tmp_path / "a"), file_bytes=20_000)
+    assert archives.count() > 1
+    back = {r.page: r.payload for r in read_archives(spark, archives).where("type = 'response'").collect()}
+    html = {r.page_id: (r.html or "").encode() for r in pages.collect()}
+    assert all(html[i] == p for i, p in back.items()) and len(back) > 10
+
+
+def test_null_ids_and_empty_table(spark):
+    pages = spark.createDataFrame([(None, "u", "q" * 200), (None, "u", "q" * 200), (4, "u", "q" * 200)], "page_id long, url string, html string")
+    got = archive_digest(pages).collect()
+    assert sorted(str(r.page_id) for r in got) == ["4", "None", "None"]
+    assert {(r.record_type, r.refers_to) for r in got} == {("response", None)}
+    assert archive_digest(pages.where(F.lit(False))).count() == 0

@@ -14,6 +14,11 @@ from tidemark.llm.simhash_ball import simhash_components
 from tidemark.llm.suffix_levels import cut_repeats, digest
 from tidemark.llm.token_files import token_digest
 from tidemark.llm.toxicity_pu import toxicity
+from tidemark.llm.warc import archive_digest, archive_sql
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_digest(table(spark, sf_dir, "pages"))
 
 
 def op3_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +61,7 @@ def op10_contained(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc": op2_warc,
     "op3_toxicity_pu": op3_toxicity_pu,
     "op4_suffix_levels": op4_suffix_levels,
     "op5_quality_pu": op5_quality_pu,
@@ -65,4 +71,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_contained": op10_contained,
 }
 
-ORACLE_SQL: dict[str, str] = {"op10_contained": contained_sql()}
+ORACLE_SQL: dict[str, str] = {"op2_warc": archive_sql(), "op10_contained": contained_sql()}
