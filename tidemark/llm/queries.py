@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
 from tidemark.llm.contained import contained, contained_sql
+from tidemark.llm.flat_graph import near_vectors
+from tidemark.llm.lattice_lm import Vocabulary, lattice_scores
 from tidemark.llm.packing_slack import packing_digest
 from tidemark.llm.quality_pu import quality
 from tidemark.llm.simhash_ball import simhash_components
@@ -17,6 +19,10 @@ from tidemark.llm.toxicity_pu import toxicity
 from tidemark.llm.warc import archive_digest, archive_sql
 
 
+def op1_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_digest(table(spark, sf_dir, "pages"))
 
@@ -52,6 +58,14 @@ def op7_packing_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing_digest(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def public_vocabulary() -> Vocabulary:
+    return Vocabulary.load(tokenizer_file("piece_bpe_32k.model")())
+
+
+def op8_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_scores(table(spark, sf_dir, "documents"), public_vocabulary)
+
+
 def op9_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
@@ -61,12 +75,14 @@ def op10_contained(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_flat_graph": op1_flat_graph,
     "op2_warc": op2_warc,
     "op3_toxicity_pu": op3_toxicity_pu,
     "op4_suffix_levels": op4_suffix_levels,
     "op5_quality_pu": op5_quality_pu,
     "op6_token_files": op6_token_files,
     "op7_packing_slack": op7_packing_slack,
+    "op8_lattice_lm": op8_lattice_lm,
     "op9_simhash_ball": op9_simhash_ball,
     "op10_contained": op10_contained,
 }
