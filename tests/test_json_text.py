@@ -5,7 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.json_text import has_keys, is_json_object
+from tidemark.operators.decode import decode_changes
 from tidemark.operators.filters import require_keys
+from tidemark.schema import change_schema
+from tidemark.sinks.files import land_text
+from tidemark.sources.files import json_rows, text_values
 
 CASES = [
     ('{"eventTime":1,"message":"m"}', True),
@@ -117,3 +121,27 @@ def test_is_json_object(numbered):
         False,
         False,
     ]
+
+
+@pytest.mark.parametrize(
+    "extra", ["[" * 1100 + "]" * 1100, "1" * 1100, '"' + "x" * 21_000_000 + '"', '{"a":null,"b":' + "[" * 1100 + "]" * 1100 + "}"]
+)
+def test_parser_limits_drop_nothing(spark, tmp_path, extra):
+    text = f'{{"eventTime":1,"message":"m","type":"t","zzz":{extra}}}'
+    values = spark.createDataFrame([(text,)], "value string")
+    assert require_keys(values).count() == 1
+    if "[" not in extra:  # the value of an asked key is made into text, which Spark does to a depth of 1000
+        assert require_keys(values, "eventTime", "zzz").count() == 1
+    assert [r.type for r in decode_changes(values, change_schema(count=1)).collect()] == ["t"]
+    land_text(values, str(tmp_path / "out"))
+    (back,) = text_values(spark, str(tmp_path / "out")).collect()
+    assert back.value == text
+    landed = json_rows(spark, str(tmp_path / "out"), change_schema(count=1))
+    assert [r.type for r in landed.collect()] == ["t"]
+
+
+def test_a_long_text_is_decoded(spark):
+    text = '{"type":"' + "x" * 21_000_000 + '"}'
+    values = spark.createDataFrame([(text,)], "value string")
+    (row,) = decode_changes(values, change_schema(count=1)).collect()
+    assert len(row.type) == 21_000_000

@@ -4,6 +4,7 @@ from tidemark.plans import jobs
 from tidemark.plans.cli import build_parser, kafka_config, landing_job
 from tidemark.plans.config import FlatLandingJob, LandingJob
 from tidemark.schema import flat_schema
+from tidemark.sinks.rolling import RollingPolicy
 from tidemark.sources.kafka import KafkaConfig, KafkaSecurity, kafka_values, utf8_text
 
 
@@ -14,7 +15,10 @@ def test_read_options():
         "subscribe": "changes",
         "startingOffsets": "earliest",
         "kafka.group.id": "g",
+        "maxOffsetsPerTrigger": "50000000",
     }
+    options = KafkaConfig("b:1", "t", group_id_prefix="p", max_offsets_per_trigger=None).read_options()
+    assert options["groupIdPrefix"] == "p" and not {"kafka.group.id", "maxOffsetsPerTrigger"} & options.keys()
 
 
 def test_scaling_and_extra_options():
@@ -82,18 +86,20 @@ def test_bytes_to_text(spark):
         utf8_text("value", "other")
 
 
-@pytest.mark.parametrize("own, used", [(None, 128 * 1024), (5, 5)])
-def test_a_task_reads_one_file_of_records(spark, monkeypatch, tmp_path, own, used):
+@pytest.mark.parametrize("own, record, used", [(None, 1024, "131072"), (5, 1024, "5"), (None, None, None)])
+def test_a_task_reads_one_file_of_records(spark, monkeypatch, tmp_path, own, record, used):
     asked = []
 
-    def values(session, config):
+    def values(session, config, invalid):
+        assert invalid == "keep"
         asked.append(config)
         return session.createDataFrame([("x",)], "value string")
 
     monkeypatch.setattr(jobs, "kafka_values", values)
     config = KafkaConfig("b:1", "t", max_records_per_partition=own)
-    jobs.land_raw(spark, LandingJob(str(tmp_path / "out"), kafka=config))
-    assert asked[0].read_options()["maxRecordsPerPartition"] == str(used)
+    policy = RollingPolicy(record_bytes=record)
+    jobs.land_raw(spark, LandingJob(str(tmp_path / "out"), kafka=config, policy=policy, invalid="keep"))
+    assert asked[0].read_options().get("maxRecordsPerPartition") == used
 
 
 def parse(*argv):
@@ -113,7 +119,8 @@ REQUIRED = ("--kafka-bootstrap-servers", "b:1", "--kafka-topic", "t", "--output-
 )
 def test_job_defaults(job, group, offsets, secured):
     config = kafka_config(parse(job, *REQUIRED), {})
-    assert config.group_id == group
+    assert config.group_id is None
+    assert config.read_options()["groupIdPrefix"] == group
     assert config.starting_offsets == offsets
     assert (config.security is not None) == secured
 
@@ -132,6 +139,21 @@ def test_dotted_parameter_names():
     assert job.control("x").checkpoint == "hdfs:///out_checkpoint"
 
 
+def test_sizes_and_job_settings_are_flags():
+    sizes = ("--max-part-bytes", "1000", "--record-bytes", "10", "--rebalance", "--invalid-bytes", "null")
+    job = landing_job(parse("flat", *REQUIRED, *sizes, "--key-prefix", "k", "--key-count", "3"), {})
+    assert job.policy == RollingPolicy(max_part_bytes=1000, record_bytes=10, rebalance=True)
+    assert (job.key_prefix, job.key_count, job.invalid) == ("k", 3, "null")
+    assert parse("filtered", *REQUIRED, "--keys", "a", "b").keys == ["a", "b"]
+    assert parse("raw", *REQUIRED).max_offsets_per_trigger == 50_000_000
+
+
+@pytest.mark.parametrize("argv", [(), ("--kafka-topic", "t", "--output-path", "/o")])
+def test_the_generator_has_one_target(argv, capsys):
+    with pytest.raises(SystemExit):
+        parse("generate", *argv)
+
+
 def test_secrets_come_from_settings():
     settings = {"spark.tidemark.ssl.key.password": "secret"}
     config = kafka_config(parse("raw", *REQUIRED, "--kerberos-service-name", "broker"), settings)
@@ -150,5 +172,5 @@ def test_job_objects():
     with pytest.raises(ValueError):
         LandingJob("")
     flat = FlatLandingJob("/out")
-    assert flat.policy.record_bytes > 2000
+    assert flat.policy.record_bytes is None
     assert flat.key_count + 11 == len(flat_schema().fields)

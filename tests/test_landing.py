@@ -13,7 +13,7 @@ from tidemark.plans.config import FlatLandingJob, LandingJob
 from tidemark.plans.jobs import generate_changes, land_filtered, land_flat_json, land_raw
 from tidemark.schema import change_schema, flat_schema
 from tidemark.sinks.files import land_json, land_text
-from tidemark.sinks.rolling import MIB, RollingPolicy, json_record_bytes
+from tidemark.sinks.rolling import MIB, RollingPolicy
 from tidemark.sinks.tables import by_position, create_json_table, insert_select
 from tidemark.sources.files import json_rows, text_values
 from tidemark.sources.views import source_view
@@ -56,7 +56,8 @@ def test_policy_defaults():
     policy = RollingPolicy()
     assert policy.interval == "15 minutes"
     assert policy.max_part_bytes == 128 * MIB
-    assert policy.options() == {"maxRecordsPerFile": str(128 * 1024)}
+    assert policy.options() == {} and policy.max_records() is None
+    assert RollingPolicy(record_bytes=1024).options() == {"maxRecordsPerFile": str(128 * 1024)}
     with pytest.raises(ValueError):
         RollingPolicy(record_bytes=0)
 
@@ -73,10 +74,62 @@ def test_default_trigger_is_the_roll_interval():
         StreamControl("")
 
 
-def test_record_size_estimate(spark):
-    rows = flatten(change_records(spark.range(200)))
-    actual = encode_rows(rows).select(F.avg(F.length("value"))).first()[0]
-    assert 0.7 < json_record_bytes(flat_schema()) / actual < 1.5
+def full_files(path):
+    """Sizes of the files, without the last of each task."""
+    tasks = {}
+    for p in data_files(path):
+        tasks.setdefault(p.name.split("-")[1], []).append((p.name, p.stat().st_size))
+    return [size for files in tasks.values() for _, size in sorted(files)[:-1]]
+
+
+@pytest.mark.parametrize("kind", ["short", "long", "mixed", "json"])
+def test_a_batch_rolls_at_its_target_whatever_the_records(spark, tmp_path, kind):
+    target = 100_000
+    short, long = F.format_string("%029d", "id"), F.rpad(F.col("id").cast("string"), 3300, "x")
+    ids = spark.range(0, 20_000 if kind == "short" else 1_000, 1, 2)
+    policy = RollingPolicy(max_part_bytes=target)
+    if kind == "json":
+        land_json(flatten(change_records(ids, count=30)), str(tmp_path / "out"), policy=policy)
+    else:
+        mixed = F.when(F.xxhash64("id") % 3 == 0, long).otherwise(short)
+        value = {"short": short, "long": long, "mixed": mixed}[kind]
+        land_text(ids.select(value.alias("value")), str(tmp_path / "out"), policy=policy)
+    sizes = full_files(tmp_path / "out")
+    assert len(sizes) > 3 and all(0.5 * target <= size <= 1.5 * target for size in sizes)
+    assert text_values(spark, str(tmp_path / "out")).count() == ids.count()
+
+
+def test_a_stream_rolls_by_measured_records(spark, tmp_path, inbox):
+    inbox("a", *[f"{i:029d}" for i in range(9_000)])
+    policy = RollingPolicy(max_part_bytes=50_000).measured(text_values(spark, inbox.path))
+    assert policy.record_bytes == 30
+    job = job_for(tmp_path, policy=policy)
+    finish(land_raw(spark, job, text_values(spark, inbox.path, streaming=True)))
+    sizes = [p.stat().st_size for p in data_files(job.output_path)]
+    uneven = [size for size in sizes if not 0.5 * 50_000 <= size <= 1.5 * 50_000]
+    assert len(sizes) > 3 and len(uneven) <= 1  # the last of the one task
+    assert len(landed(spark, job.output_path)) == 9_000
+
+
+def test_a_bounded_batch_defers_and_drops_nothing(spark, tmp_path, inbox):
+    job = job_for(tmp_path)
+    for i in range(7):
+        inbox(f"f{i}", f"{i}a", f"{i}b")
+
+    def run():
+        query = land_raw(spark, job, text_values(spark, inbox.path, streaming=True, maxFilesPerTrigger=2))
+        return finish(query)
+
+    assert len([p for p in run().recentProgress if p["numInputRows"]]) == 4
+    want = sorted(f"{i}{c}" for i in range(7) for c in "ab")
+    assert landed(spark, job.output_path) == want
+    # As if it had been stopped after the first batch.
+    for folder in ("commits", "offsets", "sources/0"):
+        for p in (Path(job.checkpoint) / folder).iterdir():
+            if p.name.lstrip(".").split(".")[0] not in ("0", "metadata"):
+                p.unlink()
+    run()
+    assert landed(spark, job.output_path) == want
 
 
 def test_size_cap_splits_files(spark, tmp_path):
@@ -253,6 +306,17 @@ def test_generate_bounded(spark, tmp_path):
         generate_changes(spark)
 
 
+def test_every_run_makes_new_records(spark, tmp_path):
+    ids = []
+    for name in ("a", "b"):
+        job = LandingJob(str(tmp_path / name))
+        generate_changes(spark, job=job, records=20)
+        ids += [json.loads(x)["payload_sys_id"] for x in landed(spark, job.output_path)]
+    assert len(set(ids)) == 40
+    with pytest.raises(ValueError):
+        generate_changes(spark, job=job, records=2, ids=spark.range(2))
+
+
 def test_generate_unbounded(spark, tmp_path):
     job = LandingJob(
         str(tmp_path / "gen"), checkpoint=str(tmp_path / "c"), interval="1 second"

@@ -6,7 +6,6 @@ from types import SimpleNamespace
 import pytest
 from conftest import plan_of
 
-from tidemark.operators.spread import SMALL_SPLITS, spread
 from tidemark.queries.catalog import CATALOG
 from tidemark.streaming import workspace as ws
 
@@ -24,28 +23,16 @@ BATCH_WITHOUT_AGGREGATION = [
     "flatten_generated_few",
     "json_has_keys",
     "json_has_null_key",
+    "bytes_to_text",
     "gen_change_records",
     "gen_mixed_text",
 ]
 
 
-def test_small_input_is_dealt_out(spark):
-    one = spark.range(0, 100, 1, 1)
-    assert spread(one, target=6).rdd.getNumPartitions() == 6
-    assert sorted(r.id for r in spread(one, target=6).collect()) == list(range(100))
-
-
-def test_enough_splits_are_left_alone(spark):
-    many = spark.range(0, 1000, 1, SMALL_SPLITS)
-    assert spread(many, target=5000) is many
-    assert spread(spark.range(0, 100, 1, 8), target=8).rdd.getNumPartitions() == 8
-
-
 @pytest.mark.parametrize("name", BATCH_WITHOUT_AGGREGATION)
-def test_no_shuffle_but_the_dealing_out(spark, sf_dir, name):
+def test_no_shuffle(spark, sf_dir, name):
     plan = plan_of(CATALOG[name].run(spark, sf_dir))
-    exchanges = plan.count("Exchange")
-    assert exchanges == plan.count("REPARTITION_BY_NUM") <= 1
+    assert "Exchange" not in plan
     assert "Python" not in plan and "CartesianProduct" not in plan and "Broadcast" not in plan
 
 

@@ -14,8 +14,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The parser's own limits on depth, digits and text length would drop valid records.
+NO_LIMITS = {
+    "maxNestingDepth": str(2**31 - 1),
+    "maxNumLen": str(2**31 - 1),
+    "maxStringLen": str(2**31 - 1),
+}
+
 # Only standard JSON counts: no single quotes, no NaN or Infinity tokens.
 STRICT_JSON = {
+    **NO_LIMITS,
     "mode": "PERMISSIVE",
     "allowSingleQuotes": "false",
     "allowNonNumericNumbers": "false",
@@ -45,7 +53,8 @@ def has_keys(value: Column | str, *keys: str) -> Column:
     tell. Building that set turns every value of the record into text, so the
     asked fields alone are parsed first: if all of them have a value, that
     decides. The key set is needed only for a text in which the word ``null``
-    occurs. Both tests share one element of a one-element array, which keeps the
+    occurs. An asked key whose own value is nested more than a thousand deep is not
+    seen: Spark makes no text of it, whatever the options. Both tests share one element of a one-element array, which keeps the
     first parse single.
     """
     if not keys:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from tidemark.schema import KEY_COUNT, KEY_PREFIX, flat_schema
-from tidemark.sinks.rolling import RollingPolicy, json_record_bytes
+from tidemark.schema import KEY_COUNT, KEY_PREFIX
+from tidemark.sinks.rolling import RollingPolicy
 from tidemark.sources.kafka import KafkaConfig
 from tidemark.streaming.control import StreamControl
 
-# The consumer groups the jobs join when none is given. Brokers
-# grant access by group name, so these must stay what they are.
+# The names of the jobs' consumer groups. Brokers grant access by
+# group name or by its prefix. Each query gets a group of its own that begins with
+# the name, because queries that share a group may each be given a part of the data.
 GROUP_IDS = {
     "raw": "flink-group",
     "filtered": "flink-cdp-json",
@@ -23,7 +24,8 @@ class LandingJob:
     """What every landing job needs: where to read, where to write, how to run.
 
     ``kafka`` may be left out when the job function is given a frame of values.
-    ``checkpoint`` defaults to a folder next to the output.
+    ``checkpoint`` defaults to a folder next to the output. ``invalid`` says what
+    becomes of bytes from Kafka that are not UTF-8: replace, null or keep.
     """
 
     output_path: str
@@ -33,6 +35,7 @@ class LandingJob:
     interval: str | None = None
     available_now: bool = False
     compression: str = "none"
+    invalid: str = "replace"
     policy: RollingPolicy = field(default_factory=RollingPolicy)
 
     def __post_init__(self) -> None:
@@ -46,14 +49,9 @@ class LandingJob:
         )
 
 
-def _flat_policy() -> RollingPolicy:
-    return RollingPolicy(record_bytes=json_record_bytes(flat_schema()))
-
-
 @dataclass(frozen=True)
 class FlatLandingJob(LandingJob):
     """A landing job for decoded records; the numbered fields may be changed."""
 
     key_prefix: str = KEY_PREFIX
     key_count: int = KEY_COUNT
-    policy: RollingPolicy = field(default_factory=_flat_policy)

@@ -7,6 +7,7 @@ before the function returns, a stream is started and its query returned.
 
 from __future__ import annotations
 
+import secrets
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,11 +32,11 @@ def _values(spark: SparkSession, job: LandingJob, values: DataFrame | None) -> D
     if job.kafka is None:
         raise ValueError("the job has no kafka settings and no values were given")
     kafka = job.kafka
-    if kafka.max_records_per_partition is None:
+    if kafka.max_records_per_partition is None and job.policy.record_bytes is not None:
         # A task then reads about what fits in one landed file, and the number of
         # tasks follows the records, not the partitions of the topic.
         kafka = replace(kafka, max_records_per_partition=job.policy.max_records())
-    return kafka_values(spark, kafka)
+    return kafka_values(spark, kafka, invalid=job.invalid)
 
 
 def land_raw(
@@ -86,20 +87,28 @@ def generate_changes(
     records: int | None = None,
     rows_per_second: int = 1,
     checkpoint: str | None = None,
-    seed: int = 0,
+    seed: int | None = None,
+    mixed_text: bool = True,
+    ids: DataFrame | None = None,
+    **settings,
 ) -> StreamingQuery | None:
     """Synthetic change records, to a topic or to text files of JSON lines.
 
-    ``records`` makes that many and ends; without it the stream runs on at
-    ``rows_per_second``.
+    ``records`` makes that many and ends, ``ids`` one for each of its rows (by the column
+    ``row_id`` of ``settings``); without either the stream runs on at
+    ``rows_per_second``. Texts are of letters and digits, or of hex digits without
+    ``mixed_text``. Without a ``seed`` one is drawn, so that every run makes new records; a
+    stream that starts again on its checkpoint should be given the seed it had.
     """
     if (kafka is None) == (job is None):
         raise ValueError("give either kafka or job")
-    rows = (
-        change_stream(spark, rows_per_second, seed=seed)
-        if records is None
-        else change_records(spark.range(records), seed=seed)
-    )
+    if ids is not None and records is not None:
+        raise ValueError("give either records or ids")
+    settings |= {"seed": secrets.randbits(62) if seed is None else seed, "mixed_text": mixed_text}
+    if ids is None and records is None:
+        rows = change_stream(spark, rows_per_second, **settings)
+    else:
+        rows = change_records(spark.range(records) if ids is None else ids, **settings)
     lines = encode_rows(rows)
     if job is not None:
         control = job.control("generate_changes") if lines.isStreaming else None

@@ -21,7 +21,7 @@ from tidemark.operators.project import (
     project_nested,
 )
 from tidemark.plans.config import FlatLandingJob, LandingJob
-from tidemark.plans.jobs import land_filtered, land_flat_json, land_raw
+from tidemark.plans.jobs import generate_changes, land_filtered, land_flat_json, land_raw
 from tidemark.queries import inputs, oracle
 from tidemark.schema import (
     ENVELOPE_FIELDS,
@@ -34,6 +34,7 @@ from tidemark.schema import (
 from tidemark.sinks.files import land_json, land_text
 from tidemark.sinks.tables import create_json_table, insert_select
 from tidemark.sources.files import json_rows, text_values
+from tidemark.sources.kafka import utf8_text
 from tidemark.sources.views import source_view
 from tidemark.streaming.control import finish
 from tidemark.streaming.workspace import workspace
@@ -135,7 +136,7 @@ def json_has_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_has_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = inputs.table(spark, sf_dir, "events", ID)
+    events = inputs.table(spark, sf_dir, "events")
     return require_keys(inputs.null_valued_messages(events)).select(ID)
 
 
@@ -205,10 +206,9 @@ def insert_select_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
             T.StructField("last_key", T.StringType()),
         ]
     )
-    schema = narrow(
-        change_schema(), "type", "operation", "timestamp", "data.asset", "data.key_125"
-    )
-    source_view(inputs.damaged_messages(_event_stream(spark, sf_dir)), source, schema)
+    columns = ["type", "operation", "timestamp", "data.asset", "data.key_125"]
+    messages = inputs.damaged_messages(_event_stream(spark, sf_dir))
+    source_view(messages, source, change_schema(), columns=columns)
     create_json_table(spark, sink, sink_schema, job.output_path)
     query = f"SELECT type, operation, `timestamp`, data.asset, data.key_125 FROM {source}"
     try:
@@ -220,15 +220,30 @@ def insert_select_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def restart_no_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second run finds the first half of the table landed already, and the other half new."""
     job = LandingJob(**_job(spark, "restart_no_duplicates"))
-    for _ in range(2):
-        values = inputs.table_stream(spark, sf_dir, "events", "props").select(
-            F.col("props").alias("value")
-        )
-        finish(land_raw(spark, job, values))
+    inbox = f"{workspace(spark, 'restart_inbox')}/values"
+    half = F.pmod(F.xxhash64(ID), F.lit(2))
+    for part in range(2):
+        props = inputs.table(spark, sf_dir, "events", ID, "props").where(half == part)
+        land_text(props.select(F.col("props").alias("value")), inbox)
+        finish(land_raw(spark, job, text_values(spark, inbox, streaming=True)))
     return text_values(spark, job.output_path).groupBy("value").agg(F.count("*").alias("n"))
 
 
+# Bytes.
+
+
+def bytes_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = inputs.table(spark, sf_dir, "documents", "doc_id", "text")
+    return inputs.cut_bytes(documents).select(
+        "doc_id",
+        F.substring(utf8_text("value", "replace"), -1, 1).alias("replaced_end"),
+        utf8_text("value", "null").alias("valid_text"),
+        F.octet_length(utf8_text("value", "keep")).alias("kept_bytes"),
+    )
+
+
 # Generation.
 
 GENERATED_BASE_MS = 1_700_000_000_000
@@ -263,6 +278,20 @@ def gen_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten(decode_changes(text_values(spark, path), change_schema()))
 
 
+def gen_job_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The generator job itself, one record per order."""
+    job = LandingJob(f"{workspace(spark, 'gen_job')}/landed")
+    generate_changes(
+        spark,
+        job=job,
+        ids=inputs.table(spark, sf_dir, "orders", "o_orderkey"),
+        row_id="o_orderkey",
+        timestamp_ms=F.col("o_orderkey"),
+        seed=0,
+    )
+    return flatten(decode_changes(text_values(spark, job.output_path), change_schema()))
+
+
 def gen_null_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = inputs.event_changes(_events(spark, sf_dir)).select(f"{PAYLOAD}.*")
     counts = changes.selectExpr(
@@ -349,8 +378,10 @@ CATALOG: dict[str, Query] = {
     "restart_no_duplicates": Query(
         restart_no_duplicates, "SELECT props AS value, count(*) AS n FROM events GROUP BY props"
     ),
+    "bytes_to_text": Query(bytes_to_text, oracle.cut_texts()),
     "gen_change_records": Query(gen_change_records, _sql_gen_changes()),
     "gen_mixed_text": Query(gen_mixed_text, _sql_gen_mixed()),
     "gen_landing": Query(gen_landing, _sql_gen_changes()),
+    "gen_job_landing": Query(gen_job_landing, _sql_gen_mixed()),
     "gen_null_share": Query(gen_null_share, oracle.null_shares()),
 }

@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 
 from tidemark.functions.json_text import to_json_line
 from tidemark.operators.generate import change_records
-from tidemark.operators.spread import spread
 from tidemark.schema import ENVELOPE_FIELDS, PAYLOAD
 from tidemark.sources.files import parquet_stream
 
@@ -20,9 +19,8 @@ EVENT_MESSAGE_ID = "event_id"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Columns of a table; a small one is dealt out over all cores."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df.select(*columns) if columns else df)
+    return df.select(*columns) if columns else df
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -31,11 +29,9 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, *columns: str) ->
     The file source takes a folder or a pattern, not a plain file name; the
     pattern here matches the table whether it is one file or a folder of files.
     """
-    batch = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    stream = parquet_stream(spark, f"{sf_dir}/{name}.parque[t]", batch.schema)
-    if columns:
-        batch, stream = batch.select(*columns), stream.select(*columns)
-    return spread(stream, like=batch)
+    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+    stream = parquet_stream(spark, f"{sf_dir}/{name}.parque[t]", schema)
+    return stream.select(*columns) if columns else stream
 
 
 def epoch_millis(df: DataFrame, name: str) -> Column:
@@ -91,12 +87,18 @@ def sparse_messages(events: DataFrame) -> DataFrame:
     return as_source(changes, F.to_json(F.struct(*ENVELOPE_FIELDS, payload.alias(PAYLOAD))))
 
 
+# Valid JSON beyond the usual limits of parsers.
+DEEP = "[" * 1100 + "]" * 1100
+LONG_NUMBER = "1" * 1100
+
+
 def damaged_messages(events: DataFrame) -> DataFrame:
-    """Change messages of which ten kinds in sixteen are damaged.
+    """Change messages of which ten kinds in sixteen are damaged, and two hold what parsers like to limit.
 
     0 cut off, 1 not JSON, 2 timestamp is text, 3 data is text, 4 no data,
     5 inside an array, 6 unknown fields, 7 blank, 8 timestamp quoted,
-    9 timestamp with a fraction; others intact.
+    9 timestamp with a fraction; a unknown field 1100 deep, b unknown number of 1100
+    digits; others intact.
     """
     parts = event_changes(events).select(
         EVENT_MESSAGE_ID,
@@ -115,6 +117,9 @@ def damaged_messages(events: DataFrame) -> DataFrame:
     def stamped(text: Column) -> Column:
         return F.replace(head, number, F.concat(F.lit('"timestamp":'), text))
 
+    def also(text: str) -> Column:
+        return F.concat(F.left(head, F.length(head) - 1), F.lit(f',"zzz":{text}}}'))
+
     quoted = F.concat(F.lit('"'), F.col("timestamp").cast("string"), F.lit('"'))
     fraction = F.concat(F.col("timestamp").cast("string"), F.lit(".5"))
     unknown = F.concat(F.left(payload, F.length(payload) - 1), F.lit(',"zzz":[1,{"a":2}]}'))
@@ -129,6 +134,8 @@ def damaged_messages(events: DataFrame) -> DataFrame:
         .when(kind_ == "7", F.lit("  "))
         .when(kind_ == "8", whole(stamped(quoted), payload))
         .when(kind_ == "9", whole(stamped(fraction), payload))
+        .when(kind_ == "a", whole(also(DEEP), payload))
+        .when(kind_ == "b", whole(also(LONG_NUMBER), payload))
         .otherwise(whole(head, payload))
     )
     return as_source(parts, value)
@@ -139,7 +146,7 @@ def event_messages(events: DataFrame) -> DataFrame:
 
     0 no message, 1 no eventTime, 2 keys one level down, 3 cut off, 4 inside an
     array, 5 single quotes, 6 bad token, 7 a JSON string, 8 a number,
-    9 duplicate key; others intact.
+    9 duplicate key, a field 1100 deep, b number of 1100 digits; others intact.
     """
     parts = events.select(
         EVENT_MESSAGE_ID,
@@ -169,6 +176,8 @@ def event_messages(events: DataFrame) -> DataFrame:
         .when(kind_ == "7", text('"eventTime message MSG"'))
         .when(kind_ == "8", text("AT"))
         .when(kind_ == "9", text('{"eventTime":0,"eventTime":AT,"message":"MSG"}'))
+        .when(kind_ == "a", text(f'{{"eventTime":AT,"message":"MSG","deep":{DEEP}}}'))
+        .when(kind_ == "b", text(f'{{"eventTime":AT,"message":"MSG","long":{LONG_NUMBER}}}'))
         .otherwise(text('{"eventTime":AT,"message":"MSG","props":PROPS}'))
     )
     return as_source(parts, value)
@@ -178,13 +187,34 @@ def null_valued_messages(events: DataFrame) -> DataFrame:
     """Event/message records whose values are JSON null, or whose key is absent.
 
     Kinds 0-3 time null, 4-7 message null, 8-b both null, c-d no time, e-f no message.
+    The other values, and a further field, are the row's own.
     """
     kind_ = kind(EVENT_MESSAGE_ID)
+    parts = events.select(
+        EVENT_MESSAGE_ID, epoch_millis(events, "ts").cast("string").alias("at"), "event_type", "props"
+    )
+
+    def text(template: str) -> Column:
+        template = template.replace("AT", "%1$s").replace("MSG", "%2$s").replace("PROPS", "%3$s")
+        return F.format_string(template, "at", "event_type", "props")
+
     value = (
-        F.when(kind_ < "4", F.lit('{"eventTime":null,"message":"m"}'))
-        .when(kind_ < "8", F.lit('{"eventTime":1,"message":null}'))
-        .when(kind_ < "c", F.lit('{"eventTime":null,"message":null}'))
-        .when(kind_ < "e", F.lit('{"message":"eventTime"}'))
-        .otherwise(F.lit('{"eventTime":"message"}'))
+        F.when(kind_ < "4", text('{"eventTime":null,"message":"MSG","props":PROPS}'))
+        .when(kind_ < "8", text('{"eventTime":AT,"message":null,"props":PROPS}'))
+        .when(kind_ < "c", text('{"eventTime":null,"message":null,"props":PROPS}'))
+        .when(kind_ < "e", text('{"message":"eventTime","in":{"eventTime":AT,"kind":"MSG"},"props":PROPS}'))
+        .otherwise(text('{"eventTime":"message","in":{"message":"MSG","at":AT},"props":PROPS}'))
     )
-    return as_source(events, value)
+    return as_source(parts, value)
+
+
+# Which texts lose their last byte, which may be the middle of a character, and gain a byte that is never UTF-8.
+CUT = "substr(md5(concat(cast(doc_id AS string), '#cut')), 1, 1) < '8'"
+
+
+def cut_bytes(documents: DataFrame) -> DataFrame:
+    """``doc_id`` and the text as bytes, as a topic delivers it; half of them are not UTF-8."""
+    raw = F.expr("cast(text AS binary)")
+    spoiled = F.expr("concat(substring(cast(text AS binary), 1, octet_length(text) - 1), X'FF')")
+    value = F.when(F.expr(CUT), spoiled).otherwise(raw)
+    return documents.select("doc_id", F.explode(F.array(value)).alias("value"))

@@ -6,12 +6,10 @@ same 136 columns are not typed out again.
 
 from __future__ import annotations
 
-from tidemark.functions.synthetic import null_threshold
 from tidemark.operators.generate import (
     ATTESTATION_STATUS,
     BUSINESS_CRITICALITY,
     FIRST_KEY_SLOT,
-    NULL_PERCENT,
     OPERATIONS,
     RECORD_TYPE,
     SLOTS,
@@ -39,9 +37,8 @@ def _pick(slot: int, pool: tuple[str, ...]) -> str:
 
 
 def _or_null(slot: int, value: str) -> str:
-    return (
-        f"CASE WHEN {_digits(slot, 1, 4)} >= '{null_threshold(NULL_PERCENT)}' THEN {value} END"
-    )
+    # NULL in 30 of 100 draws: the first four digits as a number below 30 percent of 16^4.
+    return f"CASE WHEN ('0x' || {_digits(slot, 1, 4)})::INT >= 65536 * 30 // 100 THEN {value} END"
 
 
 def drawn(source: str, row_id: str, count: int = KEY_COUNT, seed: int = 0) -> str:
@@ -125,6 +122,12 @@ def kept_event_messages() -> str:
         SELECT CASE WHEN {KIND} = '9'
                     THEN concat('{{"eventTime":0,"eventTime":', {MILLIS}, ',"message":"',
                                 event_type, '"}}')
+                    WHEN {KIND} = 'a'
+                    THEN concat('{{"eventTime":', {MILLIS}, ',"message":"', event_type,
+                                '","deep":', repeat('[', 1100), repeat(']', 1100), '}}')
+                    WHEN {KIND} = 'b'
+                    THEN concat('{{"eventTime":', {MILLIS}, ',"message":"', event_type,
+                                '","long":', repeat('1', 1100), '}}')
                     ELSE concat('{{"eventTime":', {MILLIS}, ',"message":"', event_type,
                                 '","props":', props, '}}') END AS value
         FROM events WHERE {KIND} IN ('9', 'a', 'b', 'c', 'd', 'e', 'f')"""
@@ -139,3 +142,12 @@ def null_shares() -> str:
         f"SELECT key, null_count FROM (UNPIVOT (SELECT {counts} FROM {EVENTS}) "
         f"ON {columns} INTO NAME key VALUE null_count)"
     )
+
+
+def cut_texts() -> str:
+    cut = "substr(md5(concat(doc_id, '#cut')), 1, 1) < '8'"
+    return (
+        f"SELECT doc_id, CASE WHEN {cut} THEN chr(65533) ELSE right(text, 1) END AS replaced_end,"
+        f" CASE WHEN NOT {cut} THEN text END AS valid_text,"
+        " CAST(octet_length(encode(text)) AS INTEGER) AS kept_bytes FROM documents"
+    )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.json_text import NO_LIMITS
 from tidemark.sinks.rolling import RollingPolicy
 from tidemark.streaming.control import StreamControl
 
@@ -13,7 +14,7 @@ from tidemark.streaming.control import StreamControl
 def create_json_table(spark: SparkSession, name: str, schema: T.StructType, path: str) -> None:
     """Declare a sink table of JSON files at ``path``."""
     spark.catalog.createTable(
-        name, path=path, source="json", schema=schema, ignoreNullFields="false"
+        name, path=path, source="json", schema=schema, ignoreNullFields="false", **NO_LIMITS
     )
 
 

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 EARLIEST = "earliest"
 LATEST = "latest"
 
+# Records of one batch, unless the caller says otherwise. None takes all there are.
+OFFSETS_PER_BATCH = 50_000_000
+
 
 @dataclass(frozen=True)
 class KafkaSecurity:
@@ -52,14 +55,16 @@ class KafkaConfig:
     """One topic on one set of brokers.
 
     ``starting_offsets`` counts only for a query without a checkpoint; afterwards
-    the position is the checkpoint's. ``group_id`` is a label for the brokers'
-    access rules and monitoring: Spark keeps no position in the group.
+    the position is the checkpoint's; Spark keeps no position in a group. Each query
+    has a group of its own, whose name begins with ``group_id_prefix``. A fixed
+    ``group_id`` is for brokers that grant one name only: no two queries may then run
+    at once, for each would be given a part of the records.
 
     A topic partition is one task unless it is split. ``max_records_per_partition``
     splits by size, so that a partition holding most of the records becomes many
     tasks; ``min_partitions`` asks for a number of tasks whatever the size.
     ``max_offsets_per_trigger`` bounds a batch, which matters for the first batch
-    of an old topic read from the earliest offset.
+    of an old topic read from the earliest offset: what is left waits for the next.
     """
 
     bootstrap_servers: str
@@ -69,7 +74,8 @@ class KafkaConfig:
     security: KafkaSecurity | None = None
     max_records_per_partition: int | None = None
     min_partitions: int | None = None
-    max_offsets_per_trigger: int | None = None
+    max_offsets_per_trigger: int | None = OFFSETS_PER_BATCH
+    group_id_prefix: str | None = None
     extra: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -89,6 +95,8 @@ class KafkaConfig:
             "subscribe": self.topic,
             "startingOffsets": self.starting_offsets,
         }
+        if self.group_id_prefix and not self.group_id:
+            options["groupIdPrefix"] = self.group_id_prefix
         if self.group_id:
             options["kafka.group.id"] = self.group_id
         if self.max_records_per_partition:
