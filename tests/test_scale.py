@@ -42,6 +42,11 @@ def test_null_share_shuffles_one_row_per_task(spark, sf_dir):
     assert "SinglePartition" in plan
 
 
+def test_a_declared_source_parses_the_named_columns(spark, sf_dir):
+    plan = plan_of(CATALOG["sql_source_select"].run(spark, sf_dir))
+    assert "StructField(type," in plan and "StructField(key_1," not in plan and "Exchange" not in plan
+
+
 @pytest.mark.parametrize("name", ["project_envelope", "json_skip_malformed"])
 def test_only_needed_columns_are_read(spark, sf_dir, name):
     plan = plan_of(CATALOG[name].run(spark, sf_dir))

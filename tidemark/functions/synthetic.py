@@ -14,12 +14,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from string import ascii_lowercase, ascii_uppercase
+from string import digits as digits_0_to_9
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark.functions.sql import sql_text
 
+ALPHABET = ascii_uppercase + ascii_lowercase + digits_0_to_9
+
 
 def digests(row_id: Column, slots: int, seed: int = 0) -> Column:
     """Array of digests with room for ``slots`` draws.
@@ -58,8 +62,14 @@ class Draw:
         return self._digits(9, 16)
 
     def mixed_text(self) -> str:
-        """16 characters of A-Z, a-z, 0-9: base64 with its two other symbols replaced."""
-        return f"translate(base64(unhex({self._digits(9, 24)})), '+/', 'Aa')"
+        """16 characters of A-Z, a-z, 0-9, each as likely as any other.
+
+        Base64, with its two other symbols replaced by characters that the slot's
+        other digits choose from the 62 (four digits choose two, evenly to one in a thousand).
+        """
+        number = f"cast(conv({self._digits(5, 4)}, 16, 10) AS int)"
+        spare = ", ".join(f"substring('{ALPHABET}', {n} % 62 + 1, 1)" for n in (number, f"{number} div 62"))
+        return f"translate(base64(unhex({self._digits(9, 24)})), '+/', concat({spare}))"
 
     def pick(self, pool: Sequence[str]) -> str:
         """Uniform choice from a pool."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -219,6 +220,17 @@ def insert_select_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json_rows(spark, job.output_path, sink_schema)
 
 
+def sql_source_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over a source declared with all its columns, of which two are parsed."""
+    name = f"changes_{uuid.uuid4().hex}"
+    messages = inputs.damaged_messages(_events(spark, sf_dir))
+    source_view(messages, name, change_schema(), columns=["type", "data.asset"])
+    try:
+        return spark.sql(f"SELECT type, data.asset FROM {name}")
+    finally:
+        spark.catalog.dropTempView(name)
+
+
 def restart_no_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second run finds the first half of the table landed already, and the other half new."""
     job = LandingJob(**_job(spark, "restart_no_duplicates"))
@@ -372,6 +384,7 @@ CATALOG: dict[str, Query] = {
         json_has_null_key, f"SELECT event_id FROM events WHERE {oracle.KIND} < 'c'"
     ),
     "insert_select": Query(insert_select_landing, _sql_inserted()),
+    "sql_source_select": Query(sql_source_select, _sql_damaged(["type", "asset"])),
     "filtered_landing": Query(filtered_landing, oracle.kept_event_messages()),
     "json_landing": Query(json_landing, _sql_damaged(oracle.FLAT)),
     "json_document_landing": Query(document_landing, _DOCUMENTS_SQL),

@@ -27,7 +27,10 @@ def _digits(slot: int, first: int, length: int) -> str:
 
 def _text(slot: int, mixed: bool = False) -> str:
     if mixed:
-        return f"translate(to_base64(unhex({_digits(slot, 9, 24)})), '+/', 'Aa')"
+        number = f"('0x' || {_digits(slot, 5, 4)})::INT"
+        letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+        spare = " || ".join(f"substr('{letters}', {n} % 62 + 1, 1)" for n in (number, f"{number} // 62"))
+        return f"translate(to_base64(unhex({_digits(slot, 9, 24)})), '+/', {spare})"
     return _digits(slot, 9, 16)
 
 
