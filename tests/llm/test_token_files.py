@@ -50,3 +50,10 @@ def test_empty_table_and_narrow_width(spark, tmp_path):
     assert token_digest(docs.where(F.lit(False)), PATH).count() == 0
     with pytest.raises(Exception, match="needs more than 1 bytes"):
         write_tokens(docs, PATH, str(tmp_path / "n"), width=1)
+
+
+def test_files_are_found_by_their_uri(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "hello there")], "doc_id long, text string")
+    corpus = write_tokens(docs, PATH, f"file://{tmp_path}/u")
+    assert corpus.files[0][0].startswith("file://")
+    assert read_tokens(spark, corpus).first().start == 0

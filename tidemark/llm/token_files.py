@@ -67,14 +67,13 @@ def write_tokens(
     kind = np.dtype(f"<u{width}")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path = tokenizer if isinstance(tokenizer, str) else tokenizer()
-        encoder = Encoder(path, end)
-        fs, place = located(folder)
-        name = fresh(place, "")
+        encoder = Encoder(tokenizer if isinstance(tokenizer, str) else tokenizer(), end)
+        name = fresh(folder, "")
+        fs, path = located(name)
         keys: list[np.ndarray] = []
         nulls: list[np.ndarray] = []
         sizes: list[int] = []
-        with fs.open_output_stream(f"{name}.ids") as out:
+        with fs.open_output_stream(f"{path}.ids") as out:
             for batch in batches:
                 column = batch.column(0)
                 keys.append(np.asarray(column.fill_null(0).to_numpy(zero_copy_only=False), "<i8"))
@@ -86,9 +85,9 @@ def write_tokens(
                     out.write(wide.astype(kind).tobytes())
                     sizes.append(len(wide))
         if not sizes:
-            fs.delete_file(f"{name}.ids")
+            fs.delete_file(f"{path}.ids")
             return
-        with fs.open_output_stream(f"{name}.offsets") as out:
+        with fs.open_output_stream(f"{path}.offsets") as out:
             ends = np.concatenate(([0], np.cumsum(sizes))).astype("<i8")
             for part in (np.concatenate(keys), np.concatenate(nulls), ends):
                 out.write(part.astype("<i8").tobytes())
@@ -145,10 +144,10 @@ def _mapped(fs: pafs.FileSystem, path: str):
 
 def documents_in(file: str, width: int, base: int) -> Iterator[tuple[int | None, int, np.ndarray]]:
     """(id, start in the corpus, ids) of each document of a file; the ids are a view into the map."""
-    fs = located(file)[0]
-    table = np.frombuffer(_mapped(fs, f"{file}.offsets"), "<i8")
+    fs, path = located(file)
+    table = np.frombuffer(_mapped(fs, f"{path}.offsets"), "<i8")
     count = (len(table) - 1) // 3
-    ids = np.frombuffer(_mapped(fs, f"{file}.ids"), f"<u{width}")
+    ids = np.frombuffer(_mapped(fs, f"{path}.ids"), f"<u{width}")
     keys, nulls, ends = table[:count].tolist(), table[count : 2 * count].tolist(), table[2 * count :].tolist()
     for key, null, start, stop in zip(keys, nulls, ends, ends[1:], strict=False):
         yield (None if null else key), base + start, ids[start:stop]

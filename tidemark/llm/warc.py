@@ -182,13 +182,13 @@ def write_archives(
     )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, place = located(folder)
         out, name, size, count, done = None, "", 0, 0, []
         for batch in batches:
             for page, url, payload, digest, earlier in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if out is None:
-                    name, size, count = fresh(place, ".warc.gz"), 0, 0
-                    out = fs.open_output_stream(name, compression=None)
+                    name, size, count = fresh(folder, ".warc.gz"), 0, 0
+                    fs, path = located(name)
+                    out = fs.open_output_stream(path, compression=None)
                 made = page_record(page, url, payload, digest, earlier)
                 out.write(made)
                 size, count = size + len(made), count + 1
