@@ -35,6 +35,7 @@ _CONTROL = re.compile("[\x1c-\x1f]")
 # Printable bytes stand for themselves, the others, in order, for the letters from 256 on.
 _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(_SHOWN))}
+_SIGNS = frozenset(",.;:!?|")
 _LATIN = "\u0250"
 _CUT = re.compile(rf"[^{_SPACE}](?= [^{_SPACE}])")
 
@@ -57,6 +58,7 @@ class Encoder:
         self._find = regex.compile(pattern).findall
         self._most = known
         self._units: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         self._pieces: dict[str, bytes] = {}
         self._end = b"" if end is None else np.array(end, "<u4").tobytes()
 
@@ -68,24 +70,41 @@ class Encoder:
             return _UNIT.findall(text)
         return text.replace(" ", "\0 ").split("\0") if text else []
 
-    def _learn(self, units: set[str], used: set[str]) -> None:
-        if len(self._units) + len(units) > self._most:
-            self._units = {u: self._units[u] for u in used if u in self._units}
-        normal = self._tokenizer.normalizer.normalize_str if self._words else str
-        # What is a letter depends on the Unicode version; of other scripts the library sees the whole unit.
-        cut = {u: self._find(normal(u)) if max(u, default="") < _LATIN else [u] for u in units}
-        new = list(set(chain.from_iterable(cut.values())) - self._pieces.keys())
-        if len(self._pieces) + len(new) > self._most:
-            self._pieces, new = {}, list(set(chain.from_iterable(cut.values())))
-        merge = self._tokenizer.model.tokenize
-        for piece in new:
-            if max(piece) < _LATIN:  # the model sees bytes as the letters that byte-level files give them
-                ids = [t.id for t in merge(piece.encode().decode("latin-1").translate(_BYTES))]
+    def _learn(self, units: set[str]) -> None:
+        if len(self._pieces) > self._most:
+            self._pieces = {}
+        older, pieces, lower = self._older, self._pieces, self._words
+        for unit in units:
+            if (ids := older.get(unit)) is not None:
+                self._units[unit] = ids
+                continue
+            if not (unit.isascii() or max(unit) < _LATIN):
+                # What is a letter depends on the Unicode version; of other scripts the library sees the whole unit.
+                parts = (unit,)
             else:
-                ids = self._tokenizer.encode(piece, add_special_tokens=False).ids
-            self._pieces[piece] = array("I", ids).tobytes()
-        for unit, pieces in cut.items():
-            self._units[unit] = b"".join([self._pieces[p] for p in pieces])
+                text = unit.lower() if lower else unit
+                word = text[1:] if text[:1] == " " else text
+                if word.isalpha():
+                    parts = (text,)
+                elif word[:-1].isalpha() and word[-1] in _SIGNS:
+                    parts = (text[:-1], text[-1])
+                else:
+                    parts = self._find(text)
+            found = []
+            for piece in parts:
+                if (ids := pieces.get(piece)) is None:
+                    ids = pieces[piece] = self._merged(piece)
+                found.append(ids)
+            self._units[unit] = found[0] if len(found) == 1 else b"".join(found)
+
+    def _merged(self, piece: str) -> bytes:
+        if piece.isascii() and piece.isalpha():
+            shown = piece
+        elif piece.isascii() or max(piece) < _LATIN:  # the model sees bytes as the letters that byte-level files give them
+            shown = piece.encode().decode("latin-1").translate(_BYTES)
+        else:
+            return np.array(self._tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", [t.id for t in self._tokenizer.model.tokenize(shown)]).tobytes()
 
     def _segments(self, text: str) -> Iterator[str]:
         at = 0
@@ -117,7 +136,10 @@ class Encoder:
     def _ids(self, cut: list[list[str]]) -> Iterator[bytes]:
         used = set(chain.from_iterable(cut))
         if new := used - self._units.keys():
-            self._learn(new, used)
+            if len(self._units) + len(new) > self._most:
+                # Full: begin anew, and take over from the old what still comes up.
+                self._units, self._older, new = {}, self._units, used
+            self._learn(new)
         of = self._units.__getitem__
         for units in cut:
             yield b"".join(map(of, units))
