@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import written
-from tidemark.llm.tokens import Encoder
+from tidemark.llm.tokens import encoder
 
 CAPACITY = 4096
 GROUP = 4096
@@ -86,12 +86,12 @@ def tokenized(
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer if isinstance(tokenizer, str) else tokenizer(), end)
+        tokens = encoder(tokenizer if isinstance(tokenizer, str) else tokenizer(), end)
         names = ["id", "start", "length", "doc_tokens", "ids"]
         for batch in batches:
             out: list[tuple] = []
             size = 0
-            for key, ids in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1).to_pylist()), strict=True):
+            for key, ids in zip(batch.column(0).to_pylist(), tokens.encode_all(batch.column(1).to_pylist()), strict=True):
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
                     part = ids[4 * start : 4 * (start + capacity)]

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import released_shuffles
 from tidemark.llm.shared_files import fresh, located
-from tidemark.llm.tokens import Encoder
+from tidemark.llm.tokens import encoder
 from tidemark.streaming.workspace import workspace
 
 END = 0
@@ -67,7 +67,7 @@ def write_tokens(
     kind = np.dtype(f"<u{width}")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer if isinstance(tokenizer, str) else tokenizer(), end)
+        tokens = encoder(tokenizer if isinstance(tokenizer, str) else tokenizer(), end)
         name = fresh(folder, "")
         fs, path = located(name)
         keys: list[np.ndarray] = []
@@ -78,7 +78,7 @@ def write_tokens(
                 column = batch.column(0)
                 keys.append(np.asarray(column.fill_null(0).to_numpy(zero_copy_only=False), "<i8"))
                 nulls.append(np.asarray(column.is_null().to_numpy(zero_copy_only=False), "<i8"))
-                for ids in encoder.encode_all(batch.column(1).to_pylist()):
+                for ids in tokens.encode_all(batch.column(1).to_pylist()):
                     wide = np.frombuffer(ids, "<u4")
                     if wide.max() >= 1 << (8 * width):
                         raise ValueError(f"token id {wide.max()} needs more than {width} bytes")

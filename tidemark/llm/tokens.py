@@ -13,6 +13,7 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -147,3 +148,9 @@ class Encoder:
     def _encoded(self, cut: list[list[str]]) -> Iterator[bytes]:
         for ids in self._ids(cut):
             yield ids + self._end
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str, end: int | None = None) -> Encoder:
+    """One for all tasks of a worker process, so that each does not learn the same words again."""
+    return Encoder(path, end)
