@@ -40,6 +40,8 @@ AUDITED = 256
 RECALL = 0.9
 MOST_OVERLAP = 16
 STEPS = 1 << 30
+BLOCK = 256
+PAIRS = 1 << 14
 
 
 def vectors_of(column: pa.Array) -> np.ndarray:
@@ -54,20 +56,24 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 def prune(points: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA) -> np.ndarray:
     """Robust-pruned out-edges of every point: (points, degree) of row numbers, -1 where there are fewer."""
     count = len(points)
-    cosine = points.astype(np.float32) @ points.astype(np.float32).T
-    distance = np.sqrt(np.maximum(2 - 2 * cosine, 0))
+    distance = points.astype(np.float32) @ points.astype(np.float32).T
+    distance *= -2
+    distance += 2
+    np.sqrt(np.maximum(distance, 0, out=distance), out=distance)
     np.fill_diagonal(distance, np.inf)
-    open_ = np.where(np.isinf(distance), np.float32(np.inf), distance)
-    rows, out = np.arange(count), np.full((count, degree), -1)
-    for k in range(min(degree, count - 1)):
-        nearest = open_.argmin(axis=1)
-        more = np.isfinite(open_[rows, nearest])
-        if not more.any():
-            break
-        out[more, k] = nearest[more]
-        # What lies nearer to the new neighbour, by the factor, is reached through it.
-        open_[alpha * distance[nearest] <= distance] = np.inf
-        open_[rows, nearest] = np.inf
+    out = np.full((count, degree), -1)
+    for at in range(0, count, BLOCK):
+        own = distance[at : at + BLOCK]
+        left, rows = own.copy(), np.arange(len(own))
+        for k in range(min(degree, count - 1)):
+            nearest = left.argmin(axis=1)
+            more = np.isfinite(left[rows, nearest])
+            if not more.any():
+                break
+            out[at + rows[more], k] = nearest[more]
+            # What lies nearer to the new neighbour, by the factor, is reached through it.
+            left[np.float32(alpha) * distance[nearest] <= own] = np.inf
+            left[rows, nearest] = np.inf
     return out
 
 
@@ -80,15 +86,24 @@ def search(points: np.ndarray, edges: np.ndarray, start: int, least: float, beam
 
     ``edges`` holds the neighbours of each point in a row, -1 beyond its last.
     """
-    count = len(points)
+    blocks = [_search(points, edges, start, least, beam, at) for at in range(0, len(points), BLOCK)]
+    found = np.concatenate(blocks)
+    np.fill_diagonal(found, False)
+    return found
+
+
+def _search(points: np.ndarray, edges: np.ndarray, start: int, least: float, beam: int, first: int) -> np.ndarray:
+    """``search`` for a block of points from ``first``."""
+    asked = points[first : first + BLOCK]
+    count = len(asked)
     rows = np.arange(count)
-    seen = np.zeros((count, count), bool)
+    seen = np.zeros((count, len(points)), bool)
     seen[:, start] = True
     pool = np.full((count, beam), -1)
     value = np.full((count, beam), -np.inf)
     done = np.ones((count, beam), bool)
-    pool[:, 0], value[:, 0], done[:, 0] = start, points @ points[start], False
-    found = np.zeros((count, count), bool)
+    pool[:, 0], value[:, 0], done[:, 0] = start, asked @ points[start], False
+    found = np.zeros((count, len(points)), bool)
     found[value[:, 0] >= least, start] = True
     while True:
         best = np.where(done, -np.inf, value).argmax(axis=1)
@@ -106,7 +121,7 @@ def search(points: np.ndarray, edges: np.ndarray, start: int, least: float, beam
         if not len(which):
             continue
         seen[which, near] = True
-        cosine = np.einsum("ij,ij->i", points[which], points[near])
+        cosine = np.einsum("ij,ij->i", asked[which], points[near])
         found[which[cosine >= least], near[cosine >= least]] = True
         sizes = np.bincount(which, minlength=count)
         place = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -127,31 +142,30 @@ def search(points: np.ndarray, edges: np.ndarray, start: int, least: float, beam
     while frontier.any():
         reached = np.zeros_like(found)
         which, node = np.nonzero(frontier)
-        for at in range(0, len(which), 1 << 17):
-            near = edges[node[at : at + (1 << 17)]]
-            who = np.repeat(which[at : at + (1 << 17)], near.shape[1])
+        for at in range(0, len(which), PAIRS):
+            near = edges[node[at : at + PAIRS]]
+            who = np.repeat(which[at : at + PAIRS], near.shape[1])
             reached[who[near.ravel() >= 0], near.ravel()[near.ravel() >= 0]] = True
         reached &= ~seen
         seen |= reached
         frontier = np.zeros_like(found)
         which, node = np.nonzero(reached)
-        for at in range(0, len(which), 1 << 17):
-            a, b = which[at : at + (1 << 17)], node[at : at + (1 << 17)]
-            near = np.einsum("ij,ij->i", points[a], points[b]) >= least
+        for at in range(0, len(which), PAIRS):
+            a, b = which[at : at + PAIRS], node[at : at + PAIRS]
+            near = np.einsum("ij,ij->i", asked[a], points[b]) >= least
             frontier[a[near], b[near]] = True
         found |= frontier
-    np.fill_diagonal(found, False)
     return found
 
 
 def roots(links: np.ndarray) -> np.ndarray:
     """Of each row of a link matrix the smallest row number it is joined with."""
-    a, b = np.nonzero(links)
     root = np.arange(len(links))
+    joined = np.flatnonzero(links.any(axis=1))
     while True:
         before = root.copy()
-        np.minimum.at(root, a, root[b])
-        np.minimum.at(root, b, root[a])
+        for i in joined:
+            root[i] = min(root[i], root[links[i]].min())
         root = root[root]
         if (root == before).all():
             return root
@@ -264,10 +278,9 @@ def _linked(reps: DataFrame, least: float, overlap: int, limit: int) -> DataFram
         found = search(points, edges, medoid(points), least)
         found |= found.T
         worth = shard["n"].to_numpy() * shard["home"].to_numpy()
-        joined = found.any(axis=1)
-        return pd.DataFrame(
-            {"id": ids[joined], "links": (found @ worth.astype(np.int64))[joined], "root": ids[roots(found)][joined]}
-        )
+        joined = np.flatnonzero(found.any(axis=1))
+        links = [int(worth[found[i]].sum()) for i in joined]
+        return pd.DataFrame({"id": ids[joined], "links": links, "root": ids[roots(found)][joined]}).astype(np.int64)
 
     return ready.groupBy("shard").applyInPandas(look, "id long, links long, root long")
 
