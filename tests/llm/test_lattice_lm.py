@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.llm import lattice_lm
 from tidemark.llm.lattice_lm import MARK, Vocabulary, edges, expected, forward, lattice_scores
 from tidemark.llm.queries import public_vocabulary
 
@@ -23,7 +24,7 @@ def cuts(text, v):
 
 
 @pytest.mark.parametrize("word", ["a", "ab", "abab", "abaabab", "xé", "a日b", "aba▁ab"])
-def test_forward_and_expected_equal_enumeration(word):
+def test_forward_and_expected_equal_enumeration(word, monkeypatch):
     weight = np.log(SMALL.first).tolist()
     ways = [(math.exp(sum(weight[i] for i in way)), way) for way in cuts(MARK + word.replace(MARK, "￿"), SMALL)]
     total = sum(p for p, _ in ways)
@@ -32,10 +33,12 @@ def test_forward_and_expected_equal_enumeration(word):
     for p, way in ways:
         for i in way:
             want[i] += p / total
-    got = Counter()
-    for i, part in expected(word, SMALL, weight):
-        got[i] += part
-    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i]) for i in want)
+    for short in (20, 0):
+        monkeypatch.setattr(lattice_lm, "SHORT", short)
+        got = Counter()
+        for i, part in expected(word, SMALL, weight, SMALL.first.tolist()):
+            got[i] += part
+        assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i]) for i in want)
 
 
 def test_public_vocabulary_is_a_distribution():

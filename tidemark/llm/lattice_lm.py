@@ -20,7 +20,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,8 @@ FREQUENT = 100_000
 FREQUENT_BYTES = 64
 SMOOTH = 0.1
 PIECE_SMOOTH = 0.01
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 500_000
+SHORT = 20  # characters
 COUNTED = 200_000
 MARK = "▁"
 _SPELLED = "￿"
@@ -47,7 +48,8 @@ class Vocabulary:
 
     def __init__(self, pieces: list[str], scores: list[float]) -> None:
         self.number = {piece: i for i, piece in enumerate(pieces)}
-        self.longest = max(map(len, pieces), default=1)
+        #: Every beginning of a piece; -1 if it is none itself.
+        self.prefix = {piece[:n]: -1 for piece in pieces for n in range(1, len(piece))} | self.number
         self.bytes = len(pieces)
         self.end = len(pieces) + 256
         rank = np.empty(len(pieces))
@@ -66,20 +68,30 @@ class Vocabulary:
         return cls([model.id_to_piece(i) for i in usual], [model.get_score(i) for i in usual])
 
 
+def pieces_in(word: str, vocabulary: Vocabulary) -> Iterator[tuple[int, int, tuple[int, ...]]]:
+    """(start, stop, numbers) of every piece in the marked word, by start; several numbers spell one character."""
+    text = MARK + word.replace(MARK, _SPELLED)
+    get, count = vocabulary.prefix.get, len(text)
+    for start in range(count):
+        stop = start + 1
+        number = get(text[start])
+        if number is None or number < 0:
+            spelled = MARK if text[start] == _SPELLED else text[start]
+            yield start, stop, tuple(vocabulary.bytes + b for b in spelled.encode("utf-8", "surrogatepass"))
+        while number is not None:
+            if number >= 0:
+                yield start, stop, (number,)
+            stop += 1
+            if stop > count:
+                break
+            number = get(text[start:stop])
+
+
 def edges(word: str, vocabulary: Vocabulary) -> list[list[tuple[int, tuple[int, ...]]]]:
     """For each end of a piece in the marked word, the pieces that end there: (start, numbers)."""
-    text = MARK + word.replace(MARK, _SPELLED)
-    get, longest = vocabulary.number.get, vocabulary.longest
-    out: list[list[tuple[int, tuple[int, ...]]]] = []
-    for stop in range(1, len(text) + 1):
-        found = []
-        for start in range(max(0, stop - longest), stop):
-            if (number := get(text[start:stop])) is not None:
-                found.append((start, (number,)))
-        if text[stop - 1 : stop] not in vocabulary.number:
-            spelled = MARK if text[stop - 1] == _SPELLED else text[stop - 1]
-            found.append((stop - 1, tuple(vocabulary.bytes + b for b in spelled.encode("utf-8", "surrogatepass"))))
-        out.append(found)
+    out: list[list[tuple[int, tuple[int, ...]]]] = [[] for _ in range(len(word) + 1)]
+    for start, stop, numbers in pieces_in(word, vocabulary):
+        out[stop - 1].append((start, numbers))
     return out
 
 
@@ -100,8 +112,36 @@ def forward(lattice: list, weight: list[float]) -> list[float]:
     return alpha
 
 
-def expected(word: str, vocabulary: Vocabulary, weight: list[float]) -> Iterator[tuple[int, float]]:
-    """Expected number of times each piece is used in the word, over all segmentations."""
+def expected(word: str, vocabulary: Vocabulary, weight: list[float], chance: list[float]) -> Iterator[tuple[int, float]]:
+    """Expected number of times each piece is used in the word, over all segmentations.
+
+    ``chance`` are the weights themselves. Short words are worked out with them; long ones,
+    and those whose likelihood all but vanishes, on logarithms.
+    """
+    if len(word) > SHORT:
+        yield from _expected_long(word, vocabulary, weight)
+        return
+    found = [
+        (start, stop, numbers, chance[numbers[0]] if len(numbers) == 1 else math.prod(chance[i] for i in numbers))
+        for start, stop, numbers in pieces_in(word, vocabulary)
+    ]
+    alpha, beta = [0.0] * (len(word) + 2), [0.0] * (len(word) + 2)
+    alpha[0] = beta[-1] = 1.0
+    for start, stop, _, p in found:
+        alpha[stop] += alpha[start] * p
+    total = alpha[len(word) + 1]
+    if total < 1e-250:
+        yield from _expected_long(word, vocabulary, weight)
+        return
+    for start, stop, numbers, p in reversed(found):
+        after = beta[stop] * p
+        beta[start] += after
+        part = alpha[start] * after / total
+        for number in numbers:
+            yield number, part
+
+
+def _expected_long(word: str, vocabulary: Vocabulary, weight: list[float]) -> Iterator[tuple[int, float]]:
     lattice = edges(word, vocabulary)
     alpha = forward(lattice, weight)
     # Backward, from the end: what each position is worth, pushed to the starts of its pieces.
@@ -125,6 +165,8 @@ class Model:
     distinct: int
     ends: int
     frequent: dict[bytes, int]
+    #: Likelihoods of words met lately, for all tasks of a worker process.
+    likelihood: dict[bytes, float] = field(default_factory=dict)
 
 
 def held_out(id_col: str) -> Column:
@@ -165,10 +207,11 @@ def fit(
 
         def run(batches: Iterable[pa.RecordBatch], current=current) -> Iterator[pa.RecordBatch]:
             pieces, weight = vocabulary(), current.value.tolist()
+            chance = np.exp(current.value).tolist()
             sums = np.zeros(len(weight))
             for batch in batches:
                 for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    for number, part in expected(word.decode("utf-8", "replace"), pieces, weight):
+                    for number, part in expected(word.decode("utf-8", "replace"), pieces, weight, chance):
                         sums[number] += n * part
             used = np.flatnonzero(sums)
             yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(sums[used])], names=["piece", "n"])
@@ -224,7 +267,7 @@ def lattice_scores(
         pieces, weight = known.vocabulary(), known.weights.tolist()
         frequent = {w: (n, math.log10(n + SMOOTH) - bottom) for w, n in known.frequent.items()}
         end = math.log10(known.ends + SMOOTH) - bottom
-        likelihood: dict[bytes, float] = {}
+        likelihood = known.likelihood
 
         def of_word(word: bytes) -> float:
             if (found := likelihood.get(word)) is None:
