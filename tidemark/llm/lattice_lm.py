@@ -159,7 +159,6 @@ def _expected_long(word: str, vocabulary: Vocabulary, weight: list[float]) -> It
 
 @dataclass(frozen=True)
 class Model:
-    vocabulary: Callable[[], Vocabulary]
     weights: np.ndarray
     total: int
     distinct: int
@@ -239,7 +238,7 @@ def learn(
     often = counts.where((F.col("n") * frequent >= total) & (F.octet_length("word") <= FREQUENT_BYTES))
     sent = {bytes(r.word): r.n for r in often.toLocalIterator()}  # at most ``frequent`` words
     weights = fit(rows, counts, ends, vocabulary, rounds)
-    return Model(vocabulary, weights, total, distinct + (ends > 0), ends, sent), counts
+    return Model(weights, total, distinct + (ends > 0), ends, sent), counts
 
 
 def lattice_scores(
@@ -264,7 +263,7 @@ def lattice_scores(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        pieces, weight = known.vocabulary(), known.weights.tolist()
+        pieces, weight = vocabulary(), known.weights.tolist()
         frequent = {w: (n, math.log10(n + SMOOTH) - bottom) for w, n in known.frequent.items()}
         end = math.log10(known.ends + SMOOTH) - bottom
         likelihood = known.likelihood
