@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidemark.llm.flat_graph import medoid, near_vectors, prune, search, unit
+from tidemark.llm.flat_graph import _linked, medoid, near_vectors, prune, search, unit
 
 
 def brute(rows, least=0.95):
@@ -71,3 +71,18 @@ def test_table_and_empty_table(spark, sf_dir):
     rows = [(r.vec_id, [float(x) for x in r.embedding]) for r in df.collect()]
     assert sorted(map(tuple, near_vectors(df).collect()), key=str) == brute(rows)
     assert near_vectors(df.where(F.lit(False))).count() == 0
+
+
+def test_a_group_over_many_shards_is_counted_whole(spark):
+    rng = np.random.default_rng(3)
+    clump = rng.normal(size=16) + rng.normal(size=(1500, 16)) * 0.1
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate((clump, rng.normal(size=(300, 16)))))]
+    units = unit(np.array([v for _, v in rows]))
+    reps = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(units)], "id long, n long, vec array<double>")
+    linked = _linked(reps, 0.95, 2, 400).groupBy("id").agg(F.sum("links").alias("links"), F.min("root").alias("root"))
+    got = {r.id: r.links for r in linked.collect()}
+    true = (units @ units.T >= 0.95).sum(axis=1) - 1
+    have = np.array([got.get(i, 0) for i in range(len(units))])
+    assert true.sum() > 500_000 and (have <= true).all()
+    assert have.sum() >= 0.99 * true.sum()
+    assert (have[true > 0] >= 0.9 * true[true > 0]).mean() >= 0.99

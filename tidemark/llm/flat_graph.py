@@ -10,7 +10,11 @@
    from the shard's medoid, then the range is expanded from everything found in it, over
    edges, until nothing new is within it. Cosines are of doubles, so a link found is exact.
    A link counts in the home of its far end, so each counts once.
-5. The count of links is audited for a bounded sample of vectors against all vectors; below
+5. Edges that leave the shard are followed by visits: a vector is compared with all that
+   are at home where the vectors found have edges to, and so on from what is found there,
+   until no vector has a shard left to ask. A group near each other spread over many shards
+   is thus compared block by block.
+6. The count of links is audited for a bounded sample of vectors against all vectors; below
    ``RECALL`` the graph is built again with more overlap.
 
 Links are never shuffled as pairs: a shard gives counts, and of what it joined a star.
@@ -45,7 +49,7 @@ PAIRS = 1 << 14
 
 
 def vectors_of(column: pa.Array) -> np.ndarray:
-    return np.stack([np.asarray(x, np.float64) for x in column.to_pylist()])
+    return np.asarray(column.flatten(), np.float64).reshape(len(column), -1)
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -250,17 +254,25 @@ def deal(reps: DataFrame, overlap: int, members: int = MEMBERS, limit: int = LIM
 def _linked(reps: DataFrame, least: float, overlap: int, limit: int) -> DataFrame:
     """(id, links, root): per vector and shard, links whose far end is at home there, and a vector it is joined with."""
     members = written(deal(reps, overlap, limit=limit), "graph-shards")
+    homes = members.where("home").select("id", F.col("shard").alias("at"))
+    # Of two vectors within the range of a third, neither is further from the other than this.
+    reach = 2 * least * least - 1
 
     def build(shard: pd.DataFrame) -> pd.DataFrame:
-        ids = shard["id"].to_numpy()
-        near = prune(np.stack(shard["vec"].to_numpy()))
+        ids, points = shard["id"].to_numpy(), np.stack(shard["vec"].to_numpy())
+        near = prune(points)
         a, k = np.nonzero(near >= 0)
         b = near[a, k]
-        return pd.DataFrame({"id": np.concatenate((ids[a], ids[b])), "to": np.concatenate((ids[b], ids[a]))})
+        close = np.einsum("ij,ij->i", points[a], points[b]) >= reach - 1e-9
+        both = np.concatenate((ids[a], ids[b])), np.concatenate((ids[b], ids[a])), np.concatenate((close, close))
+        return pd.DataFrame(dict(zip(("id", "to", "close"), both, strict=True)))
 
-    lists = members.select("shard", "id", "vec").groupBy("shard").applyInPandas(build, "id long, to long")
+    lists = members.select("shard", "id", "vec").groupBy("shard").applyInPandas(build, "id long, to long, close boolean")
+    lists = written(lists.distinct(), "graph-edges")
     united = written(lists.groupBy("id").agg(F.collect_set("to").alias("near")), "graph-lists")
-    ready = members.join(united, "id", "left")
+    away = lists.where("close").join(homes.withColumnRenamed("id", "to"), "to").select("id", "at").union(homes)
+    far = written(away.groupBy("id").agg(F.collect_set("at").alias("far")), "graph-far")
+    ready = members.join(united, "id", "left").join(far, "id")
 
     def look(shard: pd.DataFrame) -> pd.DataFrame:
         shard = shard.sort_values("id")
@@ -270,19 +282,115 @@ def _linked(reps: DataFrame, least: float, overlap: int, limit: int) -> DataFram
             near = np.array([] if near is None else near, np.int64)
             at = np.searchsorted(ids, near)
             at[at == len(ids)] = 0
-            lists.append(at[ids[at] == near])  # edges that leave the shard are followed in others
+            lists.append(at[ids[at] == near])  # edges that leave the shard are followed by visits
         width = max(1, max(map(len, lists)))
         edges = np.full((len(ids), width), -1)
         for row, near in zip(edges, lists, strict=True):
             row[: len(near)] = near
         found = search(points, edges, medoid(points), least)
         found |= found.T
-        worth = shard["n"].to_numpy() * shard["home"].to_numpy()
-        joined = np.flatnonzero(found.any(axis=1))
-        links = [int(worth[found[i]].sum()) for i in joined]
-        return pd.DataFrame({"id": ids[joined], "links": links, "root": ids[roots(found)][joined]}).astype(np.int64)
+        home = shard["home"].to_numpy()
+        links = (found @ (shard["n"].to_numpy() * home)) * home
+        root = ids[roots(found)]
+        np.fill_diagonal(found, True)
+        asks = _asks(found, shard["far"])
+        return pd.DataFrame({"id": ids, "shard": shard["shard"], "home": home, "links": links, "root": root, "asks": asks})
+
+    kinds = "id long, shard long, home boolean, links long, root long, asks array<long>"
+    looked = written(ready.groupBy("shard").applyInPandas(look, kinds), "graph-looked")
+    done = looked.select("id", "links", "root")
+    # What is joined at one home goes on visits together: (at, group).
+    groups = written(looked.where("home").select("id", F.col("shard").alias("at"), F.col("root").alias("group")), "graph-groups")
+    block = written(groups.join(members.where("home").select("id", "n", "vec"), "id").join(far, "id"), "graph-homes")
+    sizes = written(groups.groupBy("at", "group").count(), "graph-sizes")
+    asked = looked.select("id", F.explode("asks").alias("shard")).join(groups, "id")
+    asked = written(asked.where("shard <> at").select("at", "group", "shard").distinct(), "graph-asked")
+    seen = asked
+    while not asked.isEmpty():
+        visited = written(_visited(asked, block, sizes, least, limit), "graph-visited")
+        done = done.union(visited.where("asks IS NULL").select("id", "links", "root"))
+        asked = visited.where("asks IS NOT NULL").select("at", "group", F.explode("asks").alias("shard")).distinct()
+        asked = asked.where("shard <> at").join(seen, ["at", "group", "shard"], "left_anti")
+        asked = written(asked, "graph-asked")
+        seen = written(seen.union(asked), "graph-seen")
+    return done
+
+
+def _asks(found: np.ndarray, far: pd.Series) -> list[list[int]]:
+    """Per row of ``found`` the shards that the lists ``far`` of its columns hold."""
+    sizes = far.map(len).to_numpy()
+    names, place = np.unique(np.concatenate(far.to_list()), return_inverse=True)
+    holds = np.zeros((len(far), len(names)), np.float32)
+    holds[np.repeat(np.arange(len(far)), sizes), place] = 1
+    wanted = np.concatenate([found[at : at + BLOCK].astype(np.float32) @ holds > 0 for at in range(0, len(found), BLOCK)])
+    return [names[row].tolist() for row in wanted]
+
+
+def _visited(asked: DataFrame, block: DataFrame, sizes: DataFrame, least: float, limit: int) -> DataFrame:
+    """What the groups ``asked`` (at, group, shard) find among the vectors at home in a shard, compared with each of them.
+
+    Gives links and joined vectors per vector, and what groups are to ask next: a visitor's
+    the shards that the vectors found have edges to, a found vector's the visitor's home, so
+    that it counts the link too. The visitors of a shard are dealt to tasks of about
+    ``limit``; each has the shard's vectors.
+    """
+    parts = asked.join(sizes, ["at", "group"]).groupBy("shard").agg(F.sum("count").alias("count"))
+    parts = written(parts.select("shard", F.expr(f"cast(ceil(count / {limit}) AS int) AS parts")), "graph-parts")
+    visitors = (
+        asked.join(parts, "shard")
+        .join(block.select("at", "group", F.col("id").alias("visitor"), F.col("vec").alias("point")), ["at", "group"])
+        .select("shard", F.expr("cast(pmod(xxhash64(visitor), parts) AS int) AS part"), "at", "group", "visitor", "point")
+    )
+    hosts = (
+        block.select(F.col("at").alias("host"), F.col("group").alias("own"), "id", "n", "vec", "far")
+        .join(parts.select(F.col("shard").alias("host"), F.col("parts").alias("k")), "host")
+        .select("host", F.explode(F.expr("sequence(0, k - 1)")).alias("slice"), "own", "id", "n", "vec", "far")
+    )
 
-    return ready.groupBy("shard").applyInPandas(look, "id long, links long, root long")
+    def visit(here: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
+        names = ["id", "links", "root", "at", "group", "asks"]
+        if not len(here) or not len(there):
+            return pd.DataFrame({x: [] for x in names}).astype(dict.fromkeys(names[:5], np.int64))
+        here, there = here.sort_values(["at", "group"]), there.sort_values("own")
+        a, b = np.stack(here["point"].to_numpy()), np.stack(there["vec"].to_numpy())
+        found = np.concatenate([a[at : at + BLOCK] @ b.T >= least for at in range(0, len(a), BLOCK)])
+        ids = here["visitor"].to_numpy(), there["id"].to_numpy()
+        root = _stars(found, *ids)
+        met = np.flatnonzero(found.any(axis=1)), np.flatnonzero(found.any(axis=0))
+        # A link counts for the visitor; for the vector found it does so when that one's group visits.
+        links = np.concatenate((found[met[0]] @ there["n"].to_numpy(), np.zeros(len(met[1]), np.int64)))
+        told = pd.DataFrame({"id": np.concatenate((ids[0][met[0]], ids[1][met[1]])), "links": links})
+        told["root"] = np.concatenate((root[0][met[0]], root[1][met[1]]))
+        told["at"], told["group"], told["asks"] = 0, 0, None
+        first = np.flatnonzero(~here.duplicated(["at", "group"]).to_numpy())
+        hit = np.logical_or.reduceat(found, first, axis=0)
+        ask = here[["at", "group"]].iloc[first].reset_index(drop=True)
+        ask["asks"] = _asks(hit, there["far"])
+        first = np.flatnonzero(~there.duplicated("own").to_numpy())
+        back = np.logical_or.reduceat(hit, first, axis=1).T
+        answer = pd.DataFrame({"at": there["host"].iloc[0], "group": there["own"].to_numpy()[first]})
+        answer["asks"] = _asks(back, ask["at"].map(lambda x: [x]))
+        more = pd.concat((ask, answer), ignore_index=True)
+        more = more[more["asks"].map(len) > 0].assign(id=0, links=0, root=0)
+        return pd.concat((told, more), ignore_index=True)[names]
+
+    kinds = "id long, links long, root long, at long, group long, asks array<long>"
+    by = visitors.groupBy("shard", "part"), hosts.groupBy("host", "slice")
+    return by[0].cogroup(by[1]).applyInPandas(visit, kinds)
+
+
+def _stars(found: np.ndarray, names: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row and each column of ``found`` the smallest name it is joined with; rows bear ``names``, columns ``ids``."""
+    root, own = names.copy(), ids.copy()
+    rows, columns = np.flatnonzero(found.any(axis=1)), np.flatnonzero(found.any(axis=0))
+    while True:
+        before = root.copy(), own.copy()
+        for i in rows:
+            root[i] = min(root[i], own[found[i]].min())
+        for j in columns:
+            own[j] = min(own[j], root[found[:, j]].min())
+        if (root == before[0]).all() and (own == before[1]).all():
+            return root, own
 
 
 def _audit(reps: DataFrame, found: DataFrame, least: float, audited: int) -> float:
