@@ -1,7 +1,9 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm.flat_graph import _linked, medoid, near_vectors, prune, search, unit
+from tidemark.llm import flat_graph
+from tidemark.llm.flat_graph import _audit, _linked, _truth, medoid, near_vectors, prune, search, unit
 
 
 def brute(rows, least=0.95):
@@ -86,3 +88,20 @@ def test_a_group_over_many_shards_is_counted_whole(spark):
     assert true.sum() > 500_000 and (have <= true).all()
     assert have.sum() >= 0.99 * true.sum()
     assert (have[true > 0] >= 0.9 * true[true > 0]).mean() >= 0.99
+
+
+def test_the_audit_needs_evidence_and_is_enforced(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    points = rng.normal(size=(600, 32))
+    points[3], points[303] = points[1], points[301]
+    points[[3, 303]] += rng.normal(size=(2, 32)) * 0.05
+    units = unit(points)
+    reps = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(units)], "id long, n long, vec array<double>")
+    truth = _truth(reps, 0.95, 128, 100)  # few are linked, none of them divisible by fifty
+    assert sorted(map(tuple, truth.collect())) == [(1, 1), (3, 1), (301, 1), (303, 1)]
+    nothing = spark.createDataFrame([(1, 1)], "id long, links long")
+    assert _audit(truth, nothing) == (4, 0.25, 0.25)
+    monkeypatch.setattr(flat_graph, "_linked", lambda *_: spark.createDataFrame([(1, 1, 1)], "id long, links long, root long"))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(points)], "vec_id long, embedding array<double>")
+    with pytest.raises(RuntimeError, match="recall 0.25"):
+        near_vectors(df, most_overlap=2)

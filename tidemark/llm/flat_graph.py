@@ -14,14 +14,17 @@
    are at home where the vectors found have edges to, and so on from what is found there,
    until no vector has a shard left to ask. A group near each other spread over many shards
    is thus compared block by block.
-6. The count of links is audited for a bounded sample of vectors against all vectors; below
-   ``RECALL`` the graph is built again with more overlap.
+6. Every build is audited by asking a fiftieth of the vectors against all vectors, and more
+   until enough of them have links or all are asked. Below ``RECALL``, of all links or of a
+   vector's in the mean, the graph is built again with more overlap, and at last it is an
+   error. The recall measured is logged.
 
 Links are never shuffled as pairs: a shard gives counts, and of what it joined a star.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -32,6 +35,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import components, written
 
+logger = logging.getLogger(__name__)
+
 SIMILARITY = 0.95
 OVERLAP = 2
 MEMBERS = 2048
@@ -40,7 +45,9 @@ PIVOTS = 8192
 DEGREE = 32
 ALPHA = 1.2
 BEAM = 16
-AUDITED = 256
+AUDITED = 4096
+EVERY = 50
+LINKED = 100
 RECALL = 0.9
 MOST_OVERLAP = 16
 STEPS = 1 << 30
@@ -393,32 +400,58 @@ def _stars(found: np.ndarray, names: np.ndarray, ids: np.ndarray) -> tuple[np.nd
             return root, own
 
 
-def _audit(reps: DataFrame, found: DataFrame, least: float, audited: int) -> float:
-    """Share of the true links that ``found`` (id, links) has, of about ``audited`` vectors against all vectors."""
-    count = reps.count()
-    share = STEPS if count <= audited else int(STEPS * audited / count)
-    sample = reps.where(F.pmod(F.xxhash64(F.lit("audit"), "id"), F.lit(STEPS)) < share).select("id", "vec").collect()
-    if not sample:
-        return 1.0
-    ids = np.array([r.id for r in sample])
-    points = np.array([r.vec for r in sample])
-    shared = reps.sparkSession.sparkContext.broadcast((ids, points))
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, points = shared.value
-        total = np.zeros(len(ids), np.int64)
-        for batch in batches:
-            if batch.num_rows:
-                own, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-                near = (vectors_of(batch.column(2)) @ points.T >= least) & (own[:, None] != ids[None, :])
-                total += n @ near
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["id", "n"])
-
-    truth = reps.select("id", "n", "vec").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    true, have = (
-        truth.join(found, "id", "left").agg(F.sum("n"), F.sum(F.least("n", F.coalesce("links", F.lit(0))))).first()
+def _truth(reps: DataFrame, least: float, audited: int, linked: int) -> DataFrame:
+    """(id, n): links of asked vectors with all vectors, of those that have any.
+
+    Asked are, ``audited`` about at a time, the ids divisible by ``EVERY``, then others until
+    ``linked`` of the asked have links, or all are asked.
+    """
+    spark = reps.sparkSession
+    first = F.expr(f"id % {EVERY} = 0")
+    rest, count = reps.select(F.count_if(~first), F.count_if(first)).first()
+    rounds = [(first, part, -(-count // audited)) for part in range(-(-count // audited))]
+    rounds += [(~first, part, -(-rest // audited)) for part in range(-(-rest // audited))]
+    told, have, must = [], 0, -(-count // audited)
+    for at, (which, part, parts) in enumerate(rounds):
+        if at >= must and have >= linked:
+            break
+        of_part = F.pmod(F.xxhash64(F.lit("audit"), "id"), F.lit(parts)) == part
+        sample = reps.where(which).where(of_part).select("id", "vec").collect()
+        if not sample:
+            continue
+        shared = spark.sparkContext.broadcast((np.array([r.id for r in sample]), np.array([r.vec for r in sample])))
+
+        def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            ids, points = shared.value
+            total = np.zeros(len(ids), np.int64)
+            for batch in batches:
+                if batch.num_rows:
+                    own, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+                    vecs = vectors_of(batch.column(2))
+                    for k in range(0, len(ids), BLOCK):
+                        part = slice(k, k + BLOCK)
+                        total[part] += n @ ((vecs @ points[part].T >= least) & (own[:, None] != ids[None, part]))
+            some = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(total[some])], names=["id", "n"])
+
+        counted = reps.select("id", "n", "vec").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+        told.append(written(counted, "graph-truth"))
+        have += told[-1].count()
+    if not told:
+        return spark.createDataFrame([], "id long, n long")
+    out = told[0]
+    for more in told[1:]:
+        out = out.union(more)
+    return out
+
+
+def _audit(truth: DataFrame, found: DataFrame) -> tuple[int, float, float]:
+    """Asked vectors with true links, and the share that ``found`` (id, links) has: of all links, and of a vector's in the mean."""
+    have = F.least("n", F.coalesce("links", F.lit(0)))
+    asked, true, got, each = (
+        truth.join(found, "id", "left").agg(F.count("*"), F.sum("n"), F.sum(have), F.avg(have / F.col("n"))).first()
     )
-    return 1.0 if not true else have / true
+    return (asked, got / true, each) if asked else (0, 1.0, 1.0)
 
 
 def near_vectors(
@@ -429,6 +462,7 @@ def near_vectors(
     overlap: int = OVERLAP,
     limit: int = LIMIT,
     audited: int = AUDITED,
+    most_overlap: int = MOST_OVERLAP,
 ) -> DataFrame:
     """(id, n_links, component_id, kept) per row of ``vectors``.
 
@@ -462,11 +496,17 @@ def near_vectors(
     for (size,) in equal.select(F.size("raw")).distinct().orderBy(F.size("raw")).collect():  # lengths of vectors
         reps = equal.where(F.size("raw") == size).select("id", "n", "raw").mapInArrow(scale, "id long, n long, vec array<double>")
         reps, tried = written(reps, "graph-units"), overlap
+        truth = written(_truth(reps, least, audited, LINKED), "graph-audit")
         while True:
             linked = written(_linked(reps, least, tried, limit), "graph-links")
             links = written(linked.groupBy("id").agg(F.sum("links").alias("links")), "graph-counts")
-            if tried >= MOST_OVERLAP or _audit(reps, links, least, audited) >= RECALL:
+            asked, whole, each = _audit(truth, links)
+            said = f"{size} components, overlap {tried}: recall {whole:.4f} of links, {each:.4f} of a vector's, by {asked} vectors with links"
+            logger.info(said)
+            if min(whole, each) >= RECALL:
                 break
+            if tried >= most_overlap:
+                raise RuntimeError(f"too many near vectors were missed; {said}")
             tried *= 2
         summed.append(links)
         joined.append(linked.select(F.col("id").alias("a"), F.col("root").alias("b")))
