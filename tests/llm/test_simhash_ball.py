@@ -4,7 +4,7 @@ import pytest
 import xxhash
 
 from tidemark.llm.common import components
-from tidemark.llm.simhash_ball import ball_links, fingerprint, simhash_components
+from tidemark.llm.simhash_ball import ball_links, fingerprint, keep_one, simhash_components
 
 
 def plain_fingerprint(text):
@@ -90,3 +90,12 @@ def test_clump_at_every_distance(spark):
 def test_components_of_a_path(spark):
     links = spark.range(1, 40).selectExpr("id AS a", "id + 1 AS b")
     assert {tuple(r) for r in components(links, "t").collect()} == {(i, 1) for i in range(1, 41)}
+
+
+def test_of_rows_with_one_id_or_none_one_stays(spark):
+    a, b, c = (" ".join(f"{x}{i * i}" for i in range(60)) for x in "abc")
+    rows = [(2, a), (2, a), (1, b), (3, b), (3, c), (None, "w x y z v"), (None, "w x y z v"), (None, b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = keep_one(docs)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(2, a), (1, b), (3, c), (None, "w x y z v")], key=str)

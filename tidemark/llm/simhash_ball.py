@@ -199,10 +199,17 @@ def simhash_components(
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` whose id names their component: one document of each group.
+    """One row of ``docs`` of each component: the one with the smallest id, null being the largest.
 
-    Rows that repeat an id are one document: they stay or go together. Rows with a null id stay.
+    Rows are told apart by number, so of rows that repeat an id, or have none, one stays like of any others.
     """
-    groups = simhash_components(docs, id_col, text_col, radius)
-    gone = groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    fields = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # by position: columns may bear any name
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"), *[F.col(f"`{c}`").alias(k) for c, k in fields.items()]
+    )
+    rows = written(rows, "keep-rows")
+    groups = simhash_components(rows, "row", fields[text_col], radius)
+    named = rows.select("row", F.col(fields[id_col]).alias("id")).join(groups.select("row", "component_id"), "row")
+    first = F.min(F.struct(F.col("id").isNull().alias("absent"), "id", "row")).alias("first")
+    kept = written(named.groupBy("component_id").agg(first).select("first.row"), "keep-one")
+    return rows.join(kept, "row", "left_semi").select(*[F.col(k).alias(c) for c, k in fields.items()])
