@@ -435,8 +435,10 @@ def _truth(reps: DataFrame, least: float, audited: int, linked: int) -> DataFram
             yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(total[some])], names=["id", "n"])
 
         counted = reps.select("id", "n", "vec").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-        told.append(written(counted, "graph-truth"))
-        have += told[-1].count()
+        counted = written(counted, "graph-truth")
+        if number := counted.count():
+            told.append(counted)
+            have += number
     if not told:
         return spark.createDataFrame([], "id long, n long")
     out = told[0]
