@@ -1,0 +1,81 @@
+import hashlib
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm.merkle_manifest import manifest
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, grp string, idx int"
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf(row, text):
+    fields = [row[0], row[3], row[2], row[4], text]
+    return sha("".join("-" if x is None else f"{len(str(x).encode())}:{x}" for x in fields))
+
+
+def levels(digests, fan_out):
+    out = [digests]
+    while len(out[-1]) > 1:
+        out.append([sha("".join(out[-1][i : i + fan_out])) for i in range(0, len(out[-1]), fan_out)])
+    return out
+
+
+def way(tree, at, fan_out):
+    """(before, after) of the siblings at each level."""
+    for level in tree[:-1]:
+        low = at - at % fan_out
+        yield level[low:at], level[at + 1 : low + fan_out]
+        at //= fan_out
+
+
+def plain(rows, fan_out):
+    by_lang = {}
+    for row in rows:
+        by_lang.setdefault(row[2], []).append((row[0] is not None, row[0] or 0, leaf(row, row[1]), row))
+    langs = sorted(by_lang, key=lambda x: (x is not None, (x or "").encode()))
+    trees = [levels([d for *_, d, _ in sorted(by_lang[x], key=lambda r: r[:3])], fan_out) for x in langs]
+    last = levels([t[-1][0] for t in trees], fan_out)
+    out = []
+    for k, lang in enumerate(langs):
+        for i, (*_, digest, row) in enumerate(sorted(by_lang[lang], key=lambda r: r[:3])):
+            text = row[1]
+            if text is not None and row[0] is not None and zlib.crc32(str(row[0]).encode()) % 3 == 0:
+                text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+            steps = [*way(trees[k], i, fan_out), *way(last, k, fan_out)]
+            node = leaf(row, text)
+            for before, after in steps:
+                node = sha("".join([*before, node, *after]))
+            proof = sha("".join("".join(b + a) for b, a in steps))
+            root = last[-1][0]
+            out.append((row[0], digest, trees[k][-1][0], root, proof, node, node == root))
+    return out
+
+
+def documents():
+    rows = [(i * 7 % 101, f"Text {i} É " * (i % 4), "en", f"s{i % 3}", i, "x", 0) for i in range(101)]
+    rows += [(i, "A" * (i + 1), "de", None, None, "x", 0) for i in range(9)]
+    rows += [(500, "lone", "fr", "s", 1, "x", 0), (501, "Ü", "", "s", 1, "x", 0)]
+    rows += [(None, None, None, None, None, None, None), (None, "Null", None, "s", 3, "x", 0), (7, None, None, "s", 3, "x", 0)]
+    rows += [(3, "Twice", "zz", "s", 5, "x", 0)] * 3 + [(3, "Other", "zz", "s", 5, "x", 0), (6, "Long " * 50_000, "\u00e9", "s", 5, "x", 0)]
+    return rows
+
+
+@pytest.mark.parametrize("fan_out, per_part", [(8, 1_000_000), (2, 20), (3, 20)])
+def test_equals_brute_force(spark, fan_out, per_part):
+    docs = spark.createDataFrame(documents(), SCHEMA).repartition(4)
+    got = manifest(docs, fan_out=fan_out, per_part=per_part, least_parts=3).collect()
+    want = plain(documents(), fan_out)
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    assert {r.verified for r in got} == {True, False}
+
+
+def test_one_row_and_empty_table(spark):
+    docs = spark.createDataFrame(documents()[:1], SCHEMA)
+    (row,) = manifest(docs).collect()
+    assert row.leaf == row.subroot == row.root and row.proof_sha256 == sha("")
+    assert manifest(docs.where(F.lit(False))).count() == 0

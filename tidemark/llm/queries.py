@@ -8,16 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
 from tidemark.llm.contained import contained, contained_sql
+from tidemark.llm.filter_audit import audit, audit_sql
 from tidemark.llm.flat_graph import near_vectors
 from tidemark.llm.lattice_lm import Vocabulary, lattice_scores
+from tidemark.llm.merkle_manifest import manifest, manifest_sql
 from tidemark.llm.packing_slack import packing_digest
 from tidemark.llm.quality_pu import quality
 from tidemark.llm.simhash_ball import simhash_components
 from tidemark.llm.suffix_levels import cut_repeats, digest
 from tidemark.llm.token_files import token_digest
 from tidemark.llm.toxicity_pu import toxicity
+from tidemark.llm.url_intervals import judged_pages, judged_sql
 from tidemark.llm.warc import archive_digest, archive_sql
 
+# The rules (host, path, verdict) that pages are judged by.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
 
 def op1_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
@@ -74,6 +86,18 @@ def op10_contained(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_url_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged_pages(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_flat_graph": op1_flat_graph,
     "op2_warc": op2_warc,
@@ -85,6 +109,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lattice_lm": op8_lattice_lm,
     "op9_simhash_ball": op9_simhash_ball,
     "op10_contained": op10_contained,
+    "op11_url_intervals": op11_url_intervals,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_filter_audit": op13_filter_audit,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_warc": archive_sql(), "op10_contained": contained_sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op2_warc": archive_sql(),
+    "op10_contained": contained_sql(),
+    "op11_url_intervals": judged_sql(URL_RULES),
+    "op12_merkle_manifest": manifest_sql(),
+    "op13_filter_audit": audit_sql(),
+}
