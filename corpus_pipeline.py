@@ -18,6 +18,9 @@ from tidemark.llm.simhash_ball import keep_one
 from tidemark.llm.suffix_levels import without_repeats
 from tidemark.llm.toxicity_pu import without_toxic
 
+#: Passages of just over 50 words are to go, and words are seldom shorter than four letters and a space.
+REPEAT_BYTES = 256
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored toxic go."""
@@ -30,8 +33,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes that occur elsewhere are cut out; ``n_chars`` counts what is left of the text."""
-    return with_length(without_repeats(docs))
+    """Strings of ``REPEAT_BYTES`` that occur elsewhere are cut out; ``n_chars`` counts what is left of the text."""
+    return with_length(without_repeats(docs, length=REPEAT_BYTES, anchor=REPEAT_BYTES // 2))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
