@@ -57,8 +57,18 @@ def test_equals_brute_force(spark, broadcast_rows):
     assert got == want and len(want) > 20
     kept = without_leaks(d, b)
     assert kept.columns == d.columns
-    leaked = {x[0] for x in want}
-    assert sorted(r.doc_id or -1 for r in kept.collect()) == sorted((i or -1 if i is not None else -1) if i != 0 else -1 for i, _ in docs if i not in leaked)
+    # Each row is judged by its own text: here ids are null or repeated, and rows are told apart by number.
+    leaked = {x[0] for x in brute([(n, text) for n, (_, text) in enumerate(docs)], items)}
+    left = sorted(((i, t) for n, (i, t) in enumerate(docs) if n not in leaked), key=str)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == left
+
+
+def test_rows_of_one_id_are_kept_apart(spark):
+    rows = [(1, "a b c d e f", "x", 1), (1, "clean", "x", 2), (None, "a b c d e f", "x", 3), (None, None, "x", 4), (2, "a b c d e f", "x", 5)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, digest string, c0 int")
+    b = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
+    kept = without_leaks(d, b)
+    assert kept.columns == d.columns and sorted(r.c0 for r in kept.collect()) == [2, 4]
 
 
 def test_equals_sql(spark, sf_dir):

@@ -1,3 +1,4 @@
+import random
 import re
 import sys
 from collections import Counter, defaultdict
@@ -14,7 +15,7 @@ from tidemark.llm.common import table
 from tidemark.llm.toxicity_pu import toxicity
 
 
-def cut_everywhere(texts, length=400):
+def cut_everywhere(texts, length=corpus_pipeline.REPEAT_BYTES):
     data = [(t or "").encode() for t in texts]
     seen = Counter(d[i : i + length] for d in data for i in range(len(d) - length + 1))
     out = []
@@ -71,3 +72,16 @@ def test_each_stage_equals_brute_force(spark, sf_dir, tmp_path):
 
 def test_run_gives_pieces(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
+
+
+def test_repeated_passages_of_just_over_50_words_go(spark, sf_dir):
+    words = [w for r in table(spark, sf_dir, "documents").orderBy("doc_id").limit(40).collect() for w in (r.text or "").split()]
+    rng = random.Random(9)
+    passages = [" ".join(rng.choices([w for w in words if 2 < len(w) < 12], k=n)) for n in range(51, 66)]
+    prose = lambda: " ".join(rng.choices(words, k=120))
+    texts = [f"{prose()} {p} {prose()}" for p in passages for _ in range(2)] + [prose() for _ in range(20)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], table(spark, sf_dir, "documents").schema)
+    got = {r.doc_id: r.text for r in corpus_pipeline.repeated_strings(spark, docs, sf_dir).collect()}
+    for i, text in enumerate(texts[:30]):
+        assert passages[i // 2] not in got[i] and len(text) - len(got[i]) >= len(passages[i // 2])
+    assert [got[i] for i in range(30, 50)] == texts[30:]

@@ -82,3 +82,12 @@ def test_labels_of_held_out_rows_change_nothing(spark):
     assert a == b
     kept = toxicity_pu.without_toxic(docs, labels)
     assert kept.columns == docs.columns and kept.where("doc_id % 4 = 0").count() == 0 and kept.count() == 225
+
+
+def test_each_row_is_judged_by_its_own_text(spark):
+    rows = [(i, "bad" if i % 4 == 0 else "good", i, 0) for i in range(300)] + [(8, "good", -1, 1), (None, "bad", -2, 1), (None, "good", -3, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score long, c1 int")
+    labels = docs.where("c1 = 0").selectExpr("doc_id", "int(doc_id % 4 = 0) AS toxic")
+    kept = toxicity_pu.without_toxic(docs, labels)
+    assert kept.columns == docs.columns
+    assert {r.score for r in kept.collect()} == {i for i in range(300) if i % 4} | {-1, -3}

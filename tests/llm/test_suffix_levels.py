@@ -51,7 +51,8 @@ def test_equals_brute_force(spark, heavy):
 def test_production_length_and_pipeline_form(spark):
     rng = random.Random(1)
     text = "".join(rng.choices("abc dé", k=3000))
-    texts = [text, text[500:1300] + "é" * 300, "é" + text[100:499], None, text[:399]]
+    short = text[100:499].encode()[:398].decode("utf-8", "ignore")  # shared, but under 400 bytes
+    texts = [text, text[500:1300] + "é" * 300, "é" + short, None, short]
     docs = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "null long, text string, row long")
     want = brute(texts, 400)
     got = digest(cut_repeats(docs), "row").orderBy("row").collect()
@@ -63,6 +64,15 @@ def test_production_length_and_pipeline_form(spark):
     assert 0 <= lost <= 2 * want[0][2]  # the rest of a character that was cut
 
 
+@pytest.mark.parametrize("heavy_windows", [1 << 20, 50])
+def test_periodic_texts_of_different_lengths(spark, heavy_windows):
+    length = 60
+    texts = ["same line\n" * n for n in range(1, 40)] + ["a" * n for n in range(50, 90)] + ["b" * 5000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    cut = cut_repeats(docs, length=length, anchor=30, heavy_windows=heavy_windows)
+    assert [tuple(r)[1:] for r in digest(cut).orderBy("doc_id").collect()] == brute(texts, length)
+
+
 def test_empty_table_and_null_ids(spark):
     docs = spark.createDataFrame([(None, "x" * 500), (None, "y")], "doc_id long, text string")
     assert sorted(tuple(r)[1:4] for r in digest(cut_repeats(docs)).collect()) == [(1, 0, 0), (500, 500, 1)]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 from tidemark.streaming.workspace import workspace
 
+#: Where each table of ``written`` that is still in use lies.
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -38,7 +41,17 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     path = workspace(spark, purpose)
     with released_shuffles(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` of which all that was made is written itself."""
+    for one in tables:
+        spark = one.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop(one))
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def text_rows(batches: Iterable[pa.RecordBatch], column: int = -1) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:

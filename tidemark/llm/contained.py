@@ -139,10 +139,18 @@ def contained(
     )
 
 
-def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
-    """The rows of ``docs`` that hold no item; rows with a null id are kept."""
-    leaks = contained(docs, items, id_col, **settings).select(F.col(id_col).alias("__leak")).distinct()
-    return docs.join(leaks, docs[id_col] == leaks["__leak"], "left_anti")
+def without_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", **settings) -> DataFrame:
+    """The rows of ``docs`` whose own text holds no item; a null text holds none.
+
+    Rows are looked up by the SHA-256 of their text, so ids, which may be null or repeated,
+    do not matter, and equal texts are searched once. Columns may bear any name.
+    """
+    digest = F.unhex(F.sha2(F.col(f"`{text_col}`").cast("binary"), 256))
+    texts = docs.select(digest.alias("digest"), F.col(f"`{text_col}`").alias("text"))
+    leaks = contained(texts, items, "digest", "text", **settings).select("digest").distinct()
+    rows = docs.select(digest.alias("digest"), F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("rest"))
+    kept = rows.join(written(leaks, "contained-leaks"), "digest", "left_anti")
+    return kept.select(*[F.col(f"rest.c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def contained_sql(size: int = SHINGLE, threshold: float = THRESHOLD) -> str:

@@ -91,6 +91,11 @@ def fit(
     return Classifier(weights, bias, prior)
 
 
+def _scores(model: Classifier, of_text: Callable[[str], np.ndarray], texts: list[str | None]) -> np.ndarray:
+    sums = [float(model.weights[of_text(x or "")].sum(dtype=np.float64)) for x in texts]
+    return logistic(np.array(sums, dtype=np.float64) + model.bias)
+
+
 def score(
     docs: DataFrame,
     model: Classifier,
@@ -107,10 +112,31 @@ def score(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_text, known = features(), shared.value
         for batch in batches:
-            sums = [float(known.weights[of_text(x or "")].sum(dtype=np.float64)) for x in batch.column(1).to_pylist()]
-            scores = logistic(np.array(sums, dtype=np.float64) + known.bias)
+            scores = _scores(known, of_text, batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc", "score"])
 
     others = [F.col(f"`{c}`") for c in docs.columns if c != text_col] or [F.lit(True).alias("present")]
     rows = docs.select(F.struct(*others).alias("doc"), F.col(f"`{text_col}`").alias("text"))
     return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, score double")
+
+
+def below(
+    docs: DataFrame,
+    model: Classifier,
+    features: Callable[[], Callable[[str], np.ndarray]],
+    threshold: float,
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` with a score below ``threshold``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = [f"c{i}" for i in range(len(docs.columns))]  # by position: columns may bear any name
+    text = docs.columns.index(text_col)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_text, known = features(), shared.value
+        for batch in batches:
+            scores = _scores(known, of_text, batch.column(text).to_pylist())
+            yield batch.filter(pa.array(scores < threshold))
+
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)])
+    return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)

@@ -33,7 +33,8 @@ RADIUS = 4
 PASSES = 8
 VARIANTS_PER_GROUP = 1_500_000
 LEAST_GROUPS = 64
-CHUNK = 1024
+CHUNK = 1024  # fingerprints of one shuffled block
+SLICE = 64  # fingerprints whose variants are in memory at a time
 PRINTS_PER_TASK = 1 << 13
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -124,13 +125,16 @@ def ball_links(prints: DataFrame, radius: int = RADIUS, passes: int = PASSES) ->
             for batch in batches:
                 fps = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
                 for at in range(0, len(fps), CHUNK):
-                    part = fps[at : at + CHUNK]
-                    variants = (part[:, None] ^ masks[None, :]).ravel()
-                    where = (variants * _SPREAD) >> np.uint64(32)
-                    mine = np.flatnonzero(where % np.uint64(passes) == number)
-                    group = ((where[mine] // np.uint64(passes)) % np.uint64(groups)).astype(np.uint32)
-                    order = mine[np.argsort(group, kind="stable")]
-                    values, used = variants[order], (order % len(masks)).astype(np.uint16)
+                    picked = []
+                    for low in range(at, min(at + CHUNK, len(fps)), SLICE):
+                        variants = (fps[low : min(low + SLICE, at + CHUNK), None] ^ masks[None, :]).ravel()
+                        where = (variants * _SPREAD) >> np.uint64(32)
+                        mine = np.flatnonzero(where % np.uint64(passes) == number)
+                        group = ((where[mine] // np.uint64(passes)) % np.uint64(groups)).astype(np.uint32)
+                        picked.append((variants[mine], (mine % len(masks)).astype(np.uint16), group))
+                    values, used, group = map(np.concatenate, zip(*picked, strict=True))
+                    order = np.argsort(group, kind="stable")
+                    values, used = values[order], used[order]
                     ends = np.cumsum(np.bincount(group, minlength=groups))
                     starts = np.concatenate(([0], ends[:-1]))
                     full = np.flatnonzero(ends > starts)
@@ -210,6 +214,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
     rows = written(rows, "keep-rows")
     groups = simhash_components(rows, "row", fields[text_col], radius)
     named = rows.select("row", F.col(fields[id_col]).alias("id")).join(groups.select("row", "component_id"), "row")
+    named = written(named, "keep-named")
     first = F.min(F.struct(F.col("id").isNull().alias("absent"), "id", "row")).alias("first")
     kept = written(named.groupBy("component_id").agg(first).select("first.row"), "keep-one")
-    return rows.join(kept, "row", "left_semi").select(*[F.col(k).alias(c) for c, k in fields.items()])
+    dropped = written(named.select("row").join(kept, "row", "left_anti"), "keep-dropped")
+    return rows.join(dropped, "row", "left_anti").select(*[F.col(k).alias(c) for c, k in fields.items()])

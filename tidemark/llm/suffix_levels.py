@@ -19,8 +19,10 @@ else, in the same document or another; strings never cross documents.
    that equal prefixes are neighbours.
 
 An anchor with more than ``HEAVY`` different blocks (a passage a little shorter than
-``LENGTH`` in very many documents) is not left to one bucket: its windows are shuffled
-one by one by fingerprint. Both ways are exact.
+``LENGTH`` in very many documents), or with more windows than a bucket should have (one
+line repeated for long), is not left to one bucket: its windows are shuffled one by one by
+fingerprint. Neither way loses a repeat; that strings of one fingerprint are equal is
+taken for granted, not verified.
 """
 
 from __future__ import annotations
@@ -34,12 +36,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import discard, written
 
 LENGTH = 400
 ANCHOR = 200
 HEAVY = 4096
 SEGMENT = 1 << 20
+SLICE = 1 << 16
 BATCH_WINDOWS = 1 << 17
 BUCKET_WINDOWS = 1 << 20
 LEAST_BUCKETS = 64
@@ -186,9 +189,12 @@ def index_bucket(blocks: pd.DataFrame, length: int, batch_windows: int = BATCH_W
 
 
 def repeated_spans(
-    rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, heavy: int = HEAVY
+    rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, heavy: int = HEAVY, heavy_windows: int = BUCKET_WINDOWS
 ) -> DataFrame:
-    """(row, start, end): bytes of ``rows`` (row long, text string) covered by repeated strings; may overlap."""
+    """(row, found): the spans (start, end) of ``rows`` (row long, text string) covered by repeated strings; they may overlap.
+
+    Tables made on the way are deleted when the spans are written.
+    """
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["row", "anchor", "block", "start", "windows", "twice"]
@@ -212,9 +218,13 @@ def repeated_spans(
         .where("n > 1 OR twice")
         .select("anchor", F.expr("low <> high OR twice").alias("open"))
     )
-    met = written(met.drop("twice").join(written(shared, "repeat-anchors"), "anchor"), "repeat-candidates")
+    blocks, shared = met, written(shared, "repeat-anchors")
+    met = written(blocks.drop("twice").join(shared, "anchor"), "repeat-candidates")
+    discard(blocks, shared)
     kinds = written(
-        met.groupBy("anchor", "block", "open").agg(F.count("*").alias("copies"), F.min("row").alias("keeper")),
+        met.groupBy("anchor", "block", "open").agg(
+            F.count("*").alias("copies"), F.min("row").alias("keeper"), F.max("windows").alias("each")
+        ),
         "repeat-kinds",
     )
     whole = met.join(kinds.where("copies > 1").select("anchor", "block"), ["anchor", "block"]).select(
@@ -222,12 +232,13 @@ def repeated_spans(
     )
 
     opened = kinds.where("open")
-    weight = opened.groupBy("anchor").agg(F.count("*").alias("kinds"))
-    opened = written(opened.join(written(weight, "repeat-weights"), "anchor"), "repeat-open")
+    weight = opened.groupBy("anchor").agg((F.count("*") > heavy).alias("many"), F.sum("each").alias("each"))
+    weight = written(weight.select("anchor", (F.col("many") | (F.col("each") > heavy_windows)).alias("heavy")), "repeat-weights")
+    opened = written(opened.drop("each").join(weight, "anchor"), "repeat-open")
     chosen = (
         met.join(opened.drop("open"), ["anchor", "block"])
         .where("row = keeper")
-        .groupBy("anchor", "block", "row", "windows", "copies", "kinds")
+        .groupBy("anchor", "block", "row", "windows", "copies", "heavy")
         .agg(F.min("start").alias("start"))
     )
     chosen = written(chosen, "repeat-chosen")
@@ -239,7 +250,7 @@ def repeated_spans(
             "start",
             "anchor",
             F.expr("copies > 1").alias("whole"),
-            F.expr(f"kinds > {heavy}").alias("heavy"),
+            "heavy",
             F.expr(f"substring(text, cast(start + 1 AS int), cast(windows - 1 + {length} AS int))").alias("data"),
         ),
         "repeat-data",
@@ -256,17 +267,18 @@ def repeated_spans(
     def windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, start, whole_, block in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                keys = suffix_keys(block, length)
-                n = len(keys)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(keys.view("V16").tolist(), pa.binary()),
-                        pa.array(np.full(n, row)),
-                        pa.array(np.arange(start, start + n)),
-                        pa.array(np.full(n, whole_)),
-                    ],
-                    names=["key", "row", "start", "whole"],
-                )
+                for at in range(0, len(block) - length + 1, SLICE):
+                    keys = suffix_keys(block[at : at + SLICE + length - 1], length)
+                    n = len(keys)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(keys.view("V16").tolist(), pa.binary()),
+                            pa.array(np.full(n, row)),
+                            pa.array(np.arange(start + at, start + at + n)),
+                            pa.array(np.full(n, whole_)),
+                        ],
+                        names=["key", "row", "start", "whole"],
+                    )
 
     single = written(
         data.where("heavy").select("row", "start", "whole", "data").mapInArrow(
@@ -278,7 +290,10 @@ def repeated_spans(
     hot = single.where("NOT whole").join(again, "key").select(
         "row", "start", F.expr(f"start + {length}").alias("end")
     )
-    return whole.union(light).union(hot)
+    found = F.collect_set(F.struct("start", "end")).alias("found")
+    spans_of_row = written(whole.union(light).union(hot).groupBy("row").agg(found), "repeat-spans")
+    discard(met, kinds, weight, opened, chosen, data, single, again)
+    return spans_of_row
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -292,7 +307,12 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def cut_repeats(
-    docs: DataFrame, text_col: str = "text", length: int = LENGTH, anchor: int = ANCHOR, heavy: int = HEAVY
+    docs: DataFrame,
+    text_col: str = "text",
+    length: int = LENGTH,
+    anchor: int = ANCHOR,
+    heavy: int = HEAVY,
+    heavy_windows: int = BUCKET_WINDOWS,
 ) -> DataFrame:
     """Each row of ``docs`` as a struct ``doc`` with n_bytes, n_removed, spans and the bytes ``kept``.
 
@@ -310,10 +330,7 @@ def cut_repeats(
         ),
         "repeat-rows",
     )
-    spans = repeated_spans(rows, length, anchor, heavy)
-    per_row = written(
-        spans.groupBy("row").agg(F.collect_set(F.struct("start", "end")).alias("found")), "repeat-spans"
-    )
+    per_row = repeated_spans(rows, length, anchor, heavy, heavy_windows)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.pu_text import fit, fold, score
+from tidemark.llm.pu_text import below, fit, fold, score
 from tidemark.llm.text_features import remembered, vocabulary, word_features
 
 THRESHOLD = 0.7
@@ -50,8 +50,17 @@ def toxicity(
     )
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """The rows of ``docs`` scored below the threshold; rows with a null id are kept."""
-    rejected = toxicity(docs, labels, id_col, text_col, **settings).where("predicted = 1")
-    rejected = rejected.select(F.col(id_col).alias("__rejected")).distinct()
-    return docs.join(rejected, docs[id_col] == rejected["__rejected"], "left_anti")
+def without_toxic(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: float = THRESHOLD,
+    **settings,
+) -> DataFrame:
+    """The rows of ``docs`` scored below the threshold, each judged by its own text, whatever its id.
+
+    Rows are dropped where they are scored: nothing is shuffled or joined. Columns may bear any name.
+    """
+    model = fit(docs, labels, "toxic", features, held_out, id_col, text_col, **{"decay": DECAY, **settings})
+    return below(docs, model, features, threshold, text_col)
