@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -31,11 +32,15 @@ WORD_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _SPACE = r"\t-\r \x85\xa0  -     　"
 _UNIT = re.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 _WORD = re.compile(rf"[^{_SPACE}]+")
-_UNEVEN = re.compile(rf"[{_SPACE}]{{2}}|\0")
+#: Where a text holds one of these, a space may stand between other white space.
+_UNEVEN = ("  ", " \n", " \t", " \r", " \x0b", " \x0c", *"\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000", *map(chr, range(0x2000, 0x200B)))
+#: Begins the key of a unit without a space before it; no text holds half a surrogate pair.
+_BARE = "\ud800"
 _CONTROL = re.compile("[\x1c-\x1f]")
 # Printable bytes stand for themselves, the others, in order, for the letters from 256 on.
 _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(_SHOWN))}
+_LETTERS = "".join(chr(_BYTES.get(b, b)) for b in range(256))
 _SIGNS = frozenset(",.;:!?|")
 _LATIN = "\u0250"
 _CUT = re.compile(rf"[^{_SPACE}](?= [^{_SPACE}])")
@@ -47,6 +52,7 @@ class Encoder:
     def __init__(self, path: str, end: int | None = None, known: int = KNOWN) -> None:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._tokenize = self._tokenizer.model.tokenize
         with open(path, encoding="utf-8") as file:
             kind = json.load(file)
         cutter = kind["pre_tokenizer"]["type"]
@@ -64,21 +70,28 @@ class Encoder:
         self._end = b"" if end is None else np.array(end, "<u4").tobytes()
 
     def _cut(self, text: str) -> list[str]:
-        """Units whose ids do not depend on what stands around them."""
+        """Keys of units whose ids do not depend on what stands around them.
+
+        On the byte level most units begin with a space, which their key leaves out; the
+        others' keys begin with a mark.
+        """
         if self._words:
             return _WORD.findall(text) if _CONTROL.search(text) else text.split()
-        if _UNEVEN.search(text):
-            return _UNIT.findall(text)
-        return text.replace(" ", "\0 ").split("\0") if text else []
+        if any(map(text.__contains__, _UNEVEN)):
+            return [unit[1:] if unit[0] == " " else _BARE + unit for unit in _UNIT.findall(text)]
+        units = text.split(" ")
+        units[0] = _BARE + units[0]
+        return units
 
     def _learn(self, units: set[str]) -> None:
         if len(self._pieces) > self._most:
             self._pieces = {}
-        older, pieces, lower = self._older, self._pieces, self._words
-        for unit in units:
-            if (ids := older.get(unit)) is not None:
-                self._units[unit] = ids
+        older, pieces, lower, known = self._older, self._pieces, self._words, self._units
+        for key in units:
+            if (ids := older.get(key)) is not None:
+                known[key] = ids
                 continue
+            unit = key if lower else key[1:] if key[:1] == _BARE else " " + key
             if not (unit.isascii() or max(unit) < _LATIN):
                 # What is a letter depends on the Unicode version; of other scripts the library sees the whole unit.
                 parts = (unit,)
@@ -86,8 +99,11 @@ class Encoder:
                 text = unit.lower() if lower else unit
                 word = text[1:] if text[:1] == " " else text
                 if word.isalpha():
-                    parts = (text,)
-                elif word[:-1].isalpha() and word[-1] in _SIGNS:
+                    if (ids := pieces.get(text)) is None:
+                        ids = pieces[text] = self._merged(text)
+                    known[key] = ids
+                    continue
+                if word[:-1].isalpha() and word[-1] in _SIGNS:  # not an empty one
                     parts = (text[:-1], text[-1])
                 else:
                     parts = self._find(text)
@@ -96,16 +112,14 @@ class Encoder:
                 if (ids := pieces.get(piece)) is None:
                     ids = pieces[piece] = self._merged(piece)
                 found.append(ids)
-            self._units[unit] = found[0] if len(found) == 1 else b"".join(found)
+            known[key] = b"".join(found)
 
     def _merged(self, piece: str) -> bytes:
-        if piece.isascii() and piece.isalpha():
-            shown = piece
-        elif piece.isascii() or max(piece) < _LATIN:  # the model sees bytes as the letters that byte-level files give them
-            shown = piece.encode().decode("latin-1").translate(_BYTES)
-        else:
+        if not (piece.isascii() or max(piece) < _LATIN):
             return np.array(self._tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
-        return array("I", [t.id for t in self._tokenizer.model.tokenize(shown)]).tobytes()
+        # The model sees bytes as the letters that byte-level files give them.
+        shown = charmap_decode(piece.encode(), "strict", _LETTERS)[0]
+        return array("I", [t.id for t in self._tokenize(shown)]).tobytes()
 
     def _segments(self, text: str) -> Iterator[str]:
         at = 0
