@@ -6,8 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import lattice_lm
-from tidemark.llm.lattice_lm import MARK, Vocabulary, edges, expected, forward, lattice_scores
+from tidemark.llm.lattice_lm import MARK, Lattices, Vocabulary, expected, forward, lattice_scores, likelihoods, marked
 from tidemark.llm.queries import public_vocabulary
 
 SMALL = Vocabulary([MARK, "a", "b", "ab", MARK + "a", "ba", "aba", MARK + "ab"], [-1, -2, -3, -4, -5, -6, -7, -8])
@@ -24,28 +23,42 @@ def cuts(text, v):
 
 
 @pytest.mark.parametrize("word", ["a", "ab", "abab", "abaabab", "xé", "a日b", "aba▁ab"])
-def test_forward_and_expected_equal_enumeration(word, monkeypatch):
+def test_forward_and_expected_equal_enumeration(word):
     weight = np.log(SMALL.first).tolist()
     ways = [(math.exp(sum(weight[i] for i in way)), way) for way in cuts(MARK + word.replace(MARK, "￿"), SMALL)]
     total = sum(p for p, _ in ways)
-    assert forward(edges(word, SMALL), weight)[-1] == pytest.approx(math.log(total))
+    text = marked(word.encode())
+    assert forward(text, SMALL, weight)[-1] == pytest.approx(math.log(total))
+    assert likelihoods([b"b", word.encode(), b""], SMALL, np.log(SMALL.first))[1] == pytest.approx(math.log(total))
     want = Counter()
     for p, way in ways:
         for i in way:
             want[i] += p / total
-    for short in (20, 0):
-        monkeypatch.setattr(lattice_lm, "SHORT", short)
-        got = Counter()
-        for i, part in expected(word, SMALL, weight, SMALL.first.tolist()):
-            got[i] += part
-        assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i]) for i in want)
+    got = Counter()
+    for i, part in expected(text, SMALL, weight):
+        got[i] += part
+    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i]) for i in want)
+    sums = np.zeros(len(weight))
+    assert not len(Lattices([marked(b"ab"), text], SMALL).expect(SMALL.first, np.array([0.0, 3.0]), sums))
+    assert all(sums[i] == pytest.approx(3 * want[i]) for i in range(len(sums)))
+
+
+def test_a_word_of_a_million_bytes_and_faint_words():
+    v = public_vocabulary()
+    weights = np.log(v.first)
+    faint = "\U0002a6d6" * 20
+    words = [b"x" * 1_000_000, faint.encode(), "é".encode() * 12, b"\xff\xfe", b""]
+    got = likelihoods(words, v, weights)
+    assert all(g == pytest.approx(forward(marked(w), v, weights.tolist())[-1]) for g, w in zip(got, words, strict=True))
+    sums = np.zeros(len(weights))
+    assert Lattices([marked(faint.encode())], v).expect(v.first, np.ones(1), sums).tolist() == [0] and not sums.any()
 
 
 def test_public_vocabulary_is_a_distribution():
     v = public_vocabulary()
     assert v.first.sum() == pytest.approx(1) and len(v.first) == len(v.number) + 257
     long_word = "abc" * 20_000
-    assert forward(edges(long_word, v), np.log(v.first).tolist())[-1] < -1000
+    assert forward(marked(long_word.encode()), v, np.log(v.first).tolist())[-1] < -1000
 
 
 @pytest.mark.parametrize("frequent", [1, 100_000])
