@@ -14,6 +14,8 @@ from tidemark.streaming.workspace import workspace
 
 #: Where each table of ``written`` that is still in use lies.
 _FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -21,6 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on texts go to Python workers in batches of ``BATCH_BYTES`` at most; a smaller setting stays.
+
+    By default a batch may have 64 MB, of which a task holds several copies at a time.
+    """
+    now = spark.conf.get(_BATCH).removesuffix("b")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set(_BATCH, f"{BATCH_BYTES}b")
+
+
 @contextmanager
 def released_shuffles(spark: SparkSession):
     """Shuffle files of each query run inside are dropped when that query ends."""
@@ -39,6 +51,7 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     """The rows as a table in the shared folder, so that lineage ends and executors may be lost."""
     spark = df.sparkSession
     path = workspace(spark, purpose)
+    small_batches(spark)
     with released_shuffles(spark):
         df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import small_batches
 from tidemark.llm.pu_learning import Rows, logistic, train
 from tidemark.llm.text_features import SIZE
 
@@ -76,6 +77,7 @@ def fit(
         .groupBy("id")
         .agg(F.max("label").alias("label"))
     )
+    small_batches(docs.sparkSession)
     prior = known.agg(F.avg("label")).first()[0]
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     trusted = _drawn(known.where("label = 1"), "id", most_positives, 1).select("id")

@@ -24,7 +24,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import released_shuffles
+from tidemark.llm.common import released_shuffles, small_batches
 from tidemark.llm.shared_files import fresh, located
 from tidemark.llm.tokens import encoder
 from tidemark.streaming.workspace import workspace
@@ -64,6 +64,7 @@ def write_tokens(
     error. An empty table gives no files.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     kind = np.dtype(f"<u{width}")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
