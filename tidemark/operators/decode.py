@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.json_text import STRICT_JSON, is_json_object
 
 _CORRUPT = "_unparsed"
+_REJECTED = "rejected"
 
 
 def _as_text(schema: T.StructType) -> T.StructType:
@@ -32,6 +33,7 @@ def decode_changes(
     schema: T.StructType,
     value: str = "value",
     keep: Sequence[str] = (),
+    rejects: bool = False,
 ) -> DataFrame:
     """Parse ``value`` against ``schema``: one output row per JSON object.
 
@@ -39,6 +41,10 @@ def decode_changes(
     * a missing field, or a field that does not fit its type, is NULL and the row stays;
     * unknown fields are ignored; names match case-sensitively.
 
+    With ``rejects`` a record that is not a JSON object gives a row as well, with NULL fields
+    and its text in a last column ``rejected``, NULL for all others; a NULL value is the
+    empty text there.
+
     Columns named in ``keep`` are carried along. The parse, the gate and the
     unnesting are one generator over a one-element array. Written as a column and
     a filter, the optimizer would push the filter below the projection, and with
@@ -48,7 +54,8 @@ def decode_changes(
     when one field is; only those marked records are looked at again, to see
     whether their root is an object.
     """
-    taken = ({_CORRUPT} & set(schema.names)) | (set(keep) & {_CORRUPT, *schema.names})
+    own = {_CORRUPT, _REJECTED} if rejects else {_CORRUPT}
+    taken = (own & set(schema.names)) | (set(keep) & {*own, *schema.names})
     if taken:
         raise ValueError(f"column names taken: {', '.join(sorted(taken))}")
     parse_schema = T.StructType(
@@ -57,14 +64,23 @@ def decode_changes(
     parsed = F.from_json(
         F.col(value), parse_schema, {**STRICT_JSON, "columnNameOfCorruptRecord": _CORRUPT}
     )
-    rows = F.filter(
-        F.array(parsed),
-        lambda row: row.isNotNull() & (row[_CORRUPT].isNull() | is_json_object(F.col(value))),
-    )
+    def is_object(row: Column) -> Column:
+        return row.isNotNull() & (row[_CORRUPT].isNull() | is_json_object(F.col(value)))
+
+    if rejects:
+        names = [field.name for field in parse_schema.fields if field.name != _CORRUPT]
+        text = F.coalesce(F.col(value), F.lit(""))
+        rows = F.transform(
+            F.array(parsed),
+            lambda row: F.when(is_object(row), F.struct(*[row[n].alias(n) for n in names], F.lit(None).cast("string").alias(_REJECTED)))
+            .otherwise(F.struct(*[F.lit(None).cast(parse_schema[n].dataType).alias(n) for n in names], text.alias(_REJECTED))),
+        )
+    else:
+        rows = F.filter(F.array(parsed), is_object)
     typed = [
         F.col(field.name)
         if isinstance(field.dataType, (T.StringType, T.StructType))
         else F.col(field.name).try_cast(field.dataType).alias(field.name)
         for field in schema.fields
     ]
-    return df.select(*keep, F.inline(rows)).select(*keep, *typed)
+    return df.select(*keep, F.inline(rows)).select(*keep, *typed, *([_REJECTED] if rejects else []))

@@ -15,6 +15,7 @@ from tidemark.operators.decode import decode_changes
 from tidemark.operators.encode import encode_rows
 from tidemark.operators.filters import require_keys
 from tidemark.operators.generate import change_records
+from tidemark.operators.latest import latest
 from tidemark.operators.project import (
     flatten,
     flatten_generated,
@@ -33,11 +34,13 @@ from tidemark.schema import (
     narrow,
 )
 from tidemark.sinks.files import land_json, land_text
+from tidemark.sinks.rolling import MIB, RollingPolicy
 from tidemark.sinks.tables import create_json_table, insert_select
+from tidemark.sinks.versions import KEPT, REJECTED, keep_snapshot, land_with_rejects, landed, snapshot
 from tidemark.sources.files import json_rows, text_values
 from tidemark.sources.kafka import utf8_text
 from tidemark.sources.views import source_view
-from tidemark.streaming.control import finish
+from tidemark.streaming.control import StreamControl, finish
 from tidemark.streaming.workspace import workspace
 
 ID = inputs.EVENT_MESSAGE_ID
@@ -172,6 +175,49 @@ def raw_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_values(spark, job.output_path)
 
 
+def rolled_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = inputs.table_stream(spark, sf_dir, "documents", "text").select(
+        F.col("text").alias("value")
+    )
+    policy = RollingPolicy(max_part_bytes=MIB, by_bytes=True)
+    job = LandingJob(**_job(spark, "rolled_landing"), policy=policy)
+    finish(land_raw(spark, job, values))
+    return text_values(spark, job.output_path).select("value")
+
+
+def _user_changes(messages: DataFrame) -> DataFrame:
+    schema = narrow(change_schema(), "timestamp", "operation", "data.asset", "data.assigned_to")
+    rows = decode_changes(messages, schema, keep=(ID,))
+    return rows.select(ID, "timestamp", "operation", "data.asset", "data.assigned_to")
+
+
+def latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = _user_changes(inputs.change_messages(_events(spark, sf_dir)))
+    return latest(changes, "assigned_to", ("timestamp", ID))
+
+
+def latest_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = _user_changes(inputs.change_messages(_event_stream(spark, sf_dir)))
+    root = workspace(spark, "latest_state_stream")
+    control = StreamControl(f"{root}/checkpoint", available_now=True)
+    finish(keep_snapshot(changes, f"{root}/state", control, "assigned_to", ("timestamp", ID)))
+    return snapshot(spark, f"{root}/state", changes.schema)
+
+
+def rejects_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = inputs.damaged_messages(_event_stream(spark, sf_dir))
+    root = workspace(spark, "rejects_landing")
+    control = StreamControl(f"{root}/checkpoint", available_now=True)
+    schema = narrow(change_schema(), *ENVELOPE_FIELDS)
+    finish(land_with_rejects(messages, schema, f"{root}/landed", control, keep=(ID,)))
+    names = [messages.schema[ID], T.StructField("type", T.StringType())]
+    both = [
+        landed(spark, f"{root}/landed", T.StructType(names), outcome).select(ID, F.lit(outcome).alias("outcome"), "type")
+        for outcome in (KEPT, REJECTED)
+    ]
+    return both[0].union(both[1])
+
+
 def filtered_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = inputs.event_messages(inputs.table_stream(spark, sf_dir, "events"))
     job = LandingJob(**_job(spark, "filtered_landing"))
@@ -356,6 +402,21 @@ def _sql_inserted() -> str:
     return oracle.select(renamed, oracle.EVENTS, where=oracle.DAMAGED_ROWS)
 
 
+def _sql_latest() -> str:
+    rows = _sql_events([ID, "timestamp", "operation", "asset", "assigned_to"])
+    return (
+        f"SELECT * FROM ({rows}) WHERE assigned_to IS NOT NULL QUALIFY row_number() OVER"
+        f" (PARTITION BY assigned_to ORDER BY timestamp DESC NULLS LAST, {ID} DESC) = 1"
+    )
+
+
+def _sql_rejects() -> str:
+    return (
+        f"SELECT {ID}, 'kept' AS outcome, type FROM ({_sql_damaged([ID, 'type'])}) UNION ALL"
+        f" SELECT {ID}, 'rejected', NULL FROM events WHERE NOT ({oracle.DAMAGED_ROWS})"
+    )
+
+
 _DOCUMENTS_SQL = "SELECT doc_id, text, lang, source, n_chars FROM documents"
 _FEW_FLAT = [*ENVELOPE_FIELDS, *NAMED_PAYLOAD_FIELDS, *[f"key_{i}" for i in range(1, FEW_KEYS + 1)]]
 
@@ -364,6 +425,12 @@ CATALOG: dict[str, Query] = {
     "raw_multiline_passthrough": Query(
         raw_multiline, "SELECT unnest(string_split(text, chr(10))) AS value FROM documents"
     ),
+    "rolled_landing": Query(
+        rolled_landing, "SELECT unnest(string_split(text, chr(10))) AS value FROM documents"
+    ),
+    "latest_state": Query(latest_state, _sql_latest()),
+    "latest_state_stream": Query(latest_state_stream, _sql_latest()),
+    "rejects_landing": Query(rejects_landing, _sql_rejects()),
     "json_table_source": Query(
         json_table_source, _sql_events([*ENVELOPE_FIELDS, "asset", "assigned_to"])
     ),
