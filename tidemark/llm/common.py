@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from weakref import WeakKeyDictionary
 
@@ -67,6 +69,20 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def trimmed(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
+    """``run``, giving what its task held back to the system at the end: a worker process outlives the task."""
+
+    def whole(batches: Iterable) -> Iterator:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only where the C library has it
+        if trim is not None:
+            trim(0)
+
+    return whole
+
+
 def text_rows(batches: Iterable[pa.RecordBatch], column: int = -1) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Each batch with its text column as UTF-8 bytes, null as empty."""
     for batch in batches:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches
+from tidemark.llm.common import small_batches, trimmed
 from tidemark.llm.pu_learning import Rows, logistic, train
 from tidemark.llm.text_features import SIZE
 
@@ -49,7 +49,7 @@ def featured(docs: DataFrame, features: Callable[[], Callable[[str], np.ndarray]
             found = [of_text(x or "").tobytes() for x in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["found"])
 
-    return docs.select("text").mapInArrow(run, "found binary")
+    return docs.select("text").mapInArrow(trimmed(run), "found binary")
 
 
 def fit(
@@ -119,7 +119,7 @@ def score(
 
     others = [F.col(f"`{c}`") for c in docs.columns if c != text_col] or [F.lit(True).alias("present")]
     rows = docs.select(F.struct(*others).alias("doc"), F.col(f"`{text_col}`").alias("text"))
-    return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, score double")
+    return rows.mapInArrow(trimmed(run), f"doc {rows.schema['doc'].dataType.simpleString()}, score double")
 
 
 def below(
@@ -141,4 +141,4 @@ def below(
             yield batch.filter(pa.array(scores < threshold))
 
     rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)])
-    return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)
+    return rows.mapInArrow(trimmed(run), rows.schema).toDF(*docs.columns)

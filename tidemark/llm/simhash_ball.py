@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, released_shuffles, text_rows, written
+from tidemark.llm.common import components, released_shuffles, text_rows, trimmed, written
 from tidemark.streaming.workspace import workspace
 
 SHINGLE = 4
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints)], names=["id", "fp"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp long")
+    return rows.mapInArrow(trimmed(run), f"id {rows.schema['id'].dataType.simpleString()}, fp long")
 
 
 def ball_masks(half: int) -> np.ndarray:
@@ -168,7 +168,7 @@ def ball_links(prints: DataFrame, radius: int = RADIUS, passes: int = PASSES) ->
 
     with released_shuffles(spark):
         for number in range(passes):
-            blobs = prints.mapInArrow(emit(number), "bucket int, variants binary, masks binary")
+            blobs = prints.mapInArrow(trimmed(emit(number)), "bucket int, variants binary, masks binary")
             links = blobs.repartition(groups, "bucket").groupBy("bucket").applyInPandas(meet, "a long, b long")
             links.write.mode("append").parquet(path)
     return spark.read.schema("a long, b long").parquet(path)

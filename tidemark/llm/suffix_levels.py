@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import discard, written
+from tidemark.llm.common import discard, trimmed, written
 
 LENGTH = 400
 ANCHOR = 200
@@ -211,7 +211,7 @@ def repeated_spans(
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
     block_schema = "row long, anchor long, block long, start long, windows long, twice boolean"
-    met = written(rows.select("row", "text").mapInArrow(scan, block_schema), "repeat-blocks")
+    met = written(rows.select("row", "text").mapInArrow(trimmed(scan), block_schema), "repeat-blocks")
     shared = (
         met.groupBy("anchor")
         .agg(F.count("*").alias("n"), F.min("block").alias("low"), F.max("block").alias("high"), F.max("twice").alias("twice"))
@@ -361,7 +361,7 @@ def cut_repeats(
         f"doc {rows.schema['doc'].dataType.simpleString()}, n_bytes long, n_removed long,"
         " spans array<struct<start: long, end: long>>, kept binary"
     )
-    return rows.join(per_row, "row", "left").select("doc", "text", "found").mapInArrow(cut, schema)
+    return rows.join(per_row, "row", "left").select("doc", "text", "found").mapInArrow(trimmed(cut), schema)
 
 
 def without_repeats(docs: DataFrame, text_col: str = "text", **settings) -> DataFrame:

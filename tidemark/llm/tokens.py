@@ -21,7 +21,7 @@ import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-KNOWN = 600_000
+KNOWN = 250_000
 SEGMENT = 1 << 20
 
 # The patterns of the two pre-tokenizers, as their files and library state them.
