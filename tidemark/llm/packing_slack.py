@@ -21,11 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import written
-from tidemark.llm.tokens import encoder
+from tidemark.llm.tokens import KNOWN, encoder
 
 CAPACITY = 4096
 GROUP = 4096
 END = 2
+#: Rows encoded at a time, and ids given on at a time: a task holds so much beside its batch.
+ROWS = 256
+IDS = 1 << 18
 
 
 def fill(stock: Counter[int], capacity: int) -> Counter[int]:
@@ -79,16 +82,18 @@ def tokenized(
     text_col: str = "text",
     capacity: int = CAPACITY,
     end: int = END,
+    known: int = KNOWN,
 ) -> DataFrame:
     """Pieces of at most ``capacity`` ids: (piece, id, start, length, doc_tokens, ids), written to the shared folder.
 
     ``ids`` are little-endian unsigned 32-bit integers, ``piece`` a number of its own. A null text counts as empty.
+    ``known`` bounds the units that an encoder remembers; fewer take less memory and more time.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = encoder(tokenizer if isinstance(tokenizer, str) else tokenizer(), end)
+        tokens = encoder(tokenizer if isinstance(tokenizer, str) else tokenizer(), end, known)
         names = ["id", "start", "length", "doc_tokens", "ids"]
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             out: list[tuple] = []
             size = 0
             for key, ids in zip(batch.column(0).to_pylist(), tokens.encode_all(batch.column(1).to_pylist()), strict=True):
@@ -97,7 +102,7 @@ def tokenized(
                     part = ids[4 * start : 4 * (start + capacity)]
                     out.append((key, start, len(part) // 4, total, part))
                 size += total
-                if size > 1 << 22:
+                if size > IDS:
                     yield _batch(out, batch.schema.field(0).type, names)
                     out, size = [], 0
             if out:

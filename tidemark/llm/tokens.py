@@ -22,7 +22,7 @@ import regex
 from tokenizers import Tokenizer
 
 KNOWN = 250_000
-SEGMENT = 1 << 20
+SEGMENT = 1 << 17
 
 # The patterns of the two pre-tokenizers, as their files and library state them.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -165,6 +165,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str, end: int | None = None) -> Encoder:
+def encoder(path: str, end: int | None = None, known: int = KNOWN) -> Encoder:
     """One for all tasks of a worker process, so that each does not learn the same words again."""
-    return Encoder(path, end)
+    return Encoder(path, end, known)
