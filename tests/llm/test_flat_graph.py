@@ -105,3 +105,43 @@ def test_the_audit_needs_evidence_and_is_enforced(spark, monkeypatch):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(points)], "vec_id long, embedding array<double>")
     with pytest.raises(RuntimeError, match="recall 0.25"):
         near_vectors(df, most_overlap=2)
+
+
+def test_rows_that_repeat_an_id_keep_vectors_of_their_own(spark):
+    rng = np.random.default_rng(5)
+    a, b = rng.normal(size=(2, 24))
+    near = [(a + rng.normal(size=24) * 0.02), (b + rng.normal(size=24) * 0.02)]
+    rows = [(7, a.tolist()), (7, b.tolist()), (8, near[0].tolist()), (9, near[1].tolist()), (10, near[1].tolist())]
+    rows += [(int(i) % 40 + 100, v.tolist()) for i, v in enumerate(rng.normal(size=(600, 24)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = brute(rows)
+    assert [r[1] for r in want if r[0] == 7] == [1, 2]
+    assert sorted(map(tuple, near_vectors(df).collect()), key=str) == want
+    assert sorted(map(tuple, near_vectors(df, limit=200).collect()), key=str) == want
+
+
+def test_vectors_of_one_direction_are_split_and_all_counted(spark):
+    v = np.random.default_rng(6).normal(size=8)
+    rows = [(i, (v * (1 + i / 7)).tolist()) for i in range(900)]
+    units = unit(np.array([x for _, x in rows]))
+    reps = spark.createDataFrame([(i, 1, x.tolist()) for i, x in enumerate(units)], "id long, n long, vec array<double>")
+    stuck = reps.select(F.lit(0).cast("long").alias("shard"), "id", "n", "vec", F.lit(True).alias("home"))
+    dealt = flat_graph._dealt_by_hash(stuck, 2, 200, 400)
+    assert dealt.groupBy("shard").count().agg(F.max("count")).first()[0] <= 400
+    assert dealt.where("home").count() == dealt.select("id").distinct().count() == 900
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), limit=400)
+    assert {tuple(r)[1:] for r in got.drop("kept").collect()} == {(899, 0)}
+
+
+def test_probes_are_found_but_count_for_nobody_and_join_nothing(spark):
+    rng = np.random.default_rng(7)
+    units = unit(rng.normal(size=(500, 24)))
+    reps = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(units)], "id long, n long, vec array<double>")
+    probes = flat_graph.probes_of(reps, 0.95)
+    points = {r.id: np.array(r.vec) for r in probes.collect()}
+    cosines = np.array([points[-1 - i] @ v for i, v in enumerate(units)])
+    assert len(points) == 500 and (0.95 < cosines).all() and (cosines < 1).all() and cosines.std() > 0.01
+    linked = _linked(reps.union(probes), 0.95, 2, 200)
+    links = {r.id: r.n for r in linked.groupBy("id").agg(F.sum("links").alias("n")).collect()}
+    assert sum(links.get(-1 - i, 0) == 1 for i in range(500)) >= 450 and not any(links.get(i, 0) for i in range(500))
+    assert linked.where("id <> root").isEmpty()

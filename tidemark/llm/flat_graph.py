@@ -1,8 +1,9 @@
 """Near-duplicate vectors by a robust-pruned flat graph.
 
-1. Equal vectors are one vector with a count. Vectors are dealt to the shards of their
+1. Equal vectors are one vector with a count and a number of its own, numbered by id. Vectors are dealt to the shards of their
    ``overlap`` nearest pivots, pivots being vectors drawn by hash; shards above ``LIMIT``
-   members are split again the same way. One shard of a vector is its home.
+   members are split again the same way, and by hash what no pivots part. One shard of a
+   vector is its home.
 2. In each shard every member is given edges by robust pruning: the nearest other member
    is linked, all those are dropped to which it is a short cut, and so on.
 3. The lists of a vector from all its shards are united, in both directions.
@@ -14,10 +15,12 @@
    are at home where the vectors found have edges to, and so on from what is found there,
    until no vector has a shard left to ask. A group near each other spread over many shards
    is thus compared block by block.
-6. Every build is audited by asking a fiftieth of the vectors against all vectors, and more
-   until enough of them have links or all are asked. Below ``RECALL``, of all links or of a
-   vector's in the mean, the graph is built again with more overlap, and at last it is an
-   error. The recall measured is logged.
+6. Every build is audited. ``PROBES`` drawn vectors at most get a copy beside them, turned to a
+   cosine of ``least`` or more; the copies are searched for in the same graph, count for nobody
+   and join nothing. Beside them about ``audited`` vectors are asked, those divisible by
+   ``EVERY`` first. What both should find is counted against all vectors. Below ``RECALL``, of
+   all links or of a vector's in the mean, of either, the graph is built again with more
+   overlap, and at last it is an error. The recall measured is logged.
 
 Links are never shuffled as pairs: a shard gives counts, and of what it joined a star.
 """
@@ -46,6 +49,7 @@ DEGREE = 32
 ALPHA = 1.2
 BEAM = 16
 AUDITED = 4096
+PROBES = 1024
 EVERY = 50
 LINKED = 100
 RECALL = 0.9
@@ -201,8 +205,10 @@ def deal(reps: DataFrame, overlap: int, members: int = MEMBERS, limit: int = LIM
                 break
             plan[row.shard] = take / row["count"]
             drawn += take
-        if not plan or level == 12:
+        if not plan:
             return rows
+        if level == 12:
+            return _dealt_by_hash(rows, overlap, members, limit)
         level += 1
         shares = spark.createDataFrame([(k, int(v * STEPS) + 1) for k, v in plan.items()], "shard long, share long")
         chosen = (
@@ -219,7 +225,7 @@ def deal(reps: DataFrame, overlap: int, members: int = MEMBERS, limit: int = LIM
             if len(mine) >= 2:
                 centres[shard] = np.array([m[0] for m in mine]), np.array([m[1] for m in mine], np.float64)
         if not centres:
-            return rows
+            return _dealt_by_hash(rows, overlap, members, limit)
         shared = spark.sparkContext.broadcast(centres)
 
         def split(batches: Iterable[pa.RecordBatch], shared=shared, level=level) -> Iterator[pa.RecordBatch]:
@@ -258,8 +264,55 @@ def deal(reps: DataFrame, overlap: int, members: int = MEMBERS, limit: int = LIM
         )
 
 
+def _dealt_by_hash(rows: DataFrame, overlap: int, members: int, limit: int) -> DataFrame:
+    """``rows`` of ``deal``, with the members of each shard above ``limit`` in ``overlap`` parts of it or fewer.
+
+    No pivots part vectors of one direction. Dealt so, parts share members, and visits compare them block by block.
+    """
+    over = rows.groupBy("shard").count().where(F.col("count") > limit)
+    over = written(over.select("shard", F.expr(f"ceil(count * {overlap} / {members})").alias("parts")), "graph-over")
+    dealt = rows.join(over, "shard", "left").withColumn("k", F.explode(F.expr(f"sequence(0, if(parts IS NULL, 0, {overlap - 1}))")))
+    dealt = dealt.select(
+        F.expr("if(parts IS NULL, shard, xxhash64(shard, pmod(xxhash64(id, k), parts)))").alias("shard"),
+        "id", "n", "vec", F.expr("home AND k = 0").alias("home"),
+    )
+    return dealt.groupBy("shard", "id").agg(F.first("n").alias("n"), F.first("vec").alias("vec"), F.max("home").alias("home"))
+
+
+def probes_of(reps: DataFrame, least: float, most: int = PROBES) -> DataFrame:
+    """(id, n, vec): about ``most`` vectors or all, each turned towards a random one, under its id's negative and with n of 0.
+
+    Cosines to the vector they come from are between ``least`` and 1, evenly.
+    """
+    share = min(STEPS, int(most / max(1, reps.count()) * STEPS) + 1)
+    drawn = reps.where(F.pmod(F.xxhash64(F.lit("probe"), "id"), F.lit(STEPS)) < share)
+
+    def turn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, points = batch.column(0).to_numpy(zero_copy_only=False), vectors_of(batch.column(2))
+            out = []
+            for number, point in zip(ids, points, strict=True):
+                rng = np.random.default_rng(number)  # the same when the task runs again
+                away = rng.normal(size=len(point))
+                away -= (away @ point) * point
+                length = np.linalg.norm(away)
+                cosine = least + (1 - least) * (0.02 + 0.96 * rng.random())
+                out.append(cosine * point + np.sqrt(1 - cosine * cosine) * away / length if length > 1e-9 else point)
+            kind = pa.list_(pa.float64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(-1 - ids), pa.array(np.zeros(len(ids), np.int64)), pa.array(out, kind)], names=["id", "n", "vec"]
+            )
+
+    return drawn.select("id", "n", "vec").mapInArrow(turn, "id long, n long, vec array<double>")
+
+
 def _linked(reps: DataFrame, least: float, overlap: int, limit: int) -> DataFrame:
-    """(id, links, root): per vector and shard, links whose far end is at home there, and a vector it is joined with."""
+    """(id, links, root): per vector and shard, links whose far end is at home there, and a vector it is joined with.
+
+    A vector with n of 0 is a probe: it has links, but is nobody's and joins nothing.
+    """
     members = written(deal(reps, overlap, limit=limit), "graph-shards")
     homes = members.where("home").select("id", F.col("shard").alias("at"))
     # Of two vectors within the range of a third, neither is further from the other than this.
@@ -298,7 +351,8 @@ def _linked(reps: DataFrame, least: float, overlap: int, limit: int) -> DataFram
         found |= found.T
         home = shard["home"].to_numpy()
         links = (found @ (shard["n"].to_numpy() * home)) * home
-        root = ids[roots(found)]
+        real = shard["n"].to_numpy() > 0
+        root = ids[roots(found & real & real[:, None])]
         np.fill_diagonal(found, True)
         asks = _asks(found, shard["far"])
         return pd.DataFrame({"id": ids, "shard": shard["shard"], "home": home, "links": links, "root": root, "asks": asks})
@@ -345,8 +399,8 @@ def _visited(asked: DataFrame, block: DataFrame, sizes: DataFrame, least: float,
     parts = written(parts.select("shard", F.expr(f"cast(ceil(count / {limit}) AS int) AS parts")), "graph-parts")
     visitors = (
         asked.join(parts, "shard")
-        .join(block.select("at", "group", F.col("id").alias("visitor"), F.col("vec").alias("point")), ["at", "group"])
-        .select("shard", F.expr("cast(pmod(xxhash64(visitor), parts) AS int) AS part"), "at", "group", "visitor", "point")
+        .join(block.select("at", "group", F.col("id").alias("visitor"), F.col("n").alias("size"), F.col("vec").alias("point")), ["at", "group"])
+        .select("shard", F.expr("cast(pmod(xxhash64(visitor), parts) AS int) AS part"), "at", "group", "visitor", "size", "point")
     )
     hosts = (
         block.select(F.col("at").alias("host"), F.col("group").alias("own"), "id", "n", "vec", "far")
@@ -362,7 +416,7 @@ def _visited(asked: DataFrame, block: DataFrame, sizes: DataFrame, least: float,
         a, b = np.stack(here["point"].to_numpy()), np.stack(there["vec"].to_numpy())
         found = np.concatenate([a[at : at + BLOCK] @ b.T >= least for at in range(0, len(a), BLOCK)])
         ids = here["visitor"].to_numpy(), there["id"].to_numpy()
-        root = _stars(found, *ids)
+        root = _stars(found & (here["size"].to_numpy() > 0)[:, None] & (there["n"].to_numpy() > 0), *ids)
         met = np.flatnonzero(found.any(axis=1)), np.flatnonzero(found.any(axis=0))
         # A link counts for the visitor; for the vector found it does so when that one's group visits.
         links = np.concatenate((found[met[0]] @ there["n"].to_numpy(), np.zeros(len(met[1]), np.int64)))
@@ -403,39 +457,24 @@ def _stars(found: np.ndarray, names: np.ndarray, ids: np.ndarray) -> tuple[np.nd
 def _truth(reps: DataFrame, least: float, audited: int, linked: int) -> DataFrame:
     """(id, n): links of asked vectors with all vectors, of those that have any.
 
-    Asked are, ``audited`` about at a time, the ids divisible by ``EVERY``, then others until
-    ``linked`` of the asked have links, or all are asked.
+    Asked are, ``audited`` about at a time, the ids divisible by ``EVERY``, then others, until
+    ``audited`` are asked and ``linked`` of them have links, or all are asked.
     """
     spark = reps.sparkSession
-    first = F.expr(f"id % {EVERY} = 0")
+    first = F.expr(f"{'name' if 'name' in reps.columns else 'id'} % {EVERY} = 0")
     rest, count = reps.select(F.count_if(~first), F.count_if(first)).first()
     rounds = [(first, part, -(-count // audited)) for part in range(-(-count // audited))]
     rounds += [(~first, part, -(-rest // audited)) for part in range(-(-rest // audited))]
-    told, have, must = [], 0, -(-count // audited)
-    for at, (which, part, parts) in enumerate(rounds):
-        if at >= must and have >= linked:
+    told, have, asked = [], 0, 0
+    for which, part, parts in rounds:
+        if asked >= audited and have >= linked:
             break
         of_part = F.pmod(F.xxhash64(F.lit("audit"), "id"), F.lit(parts)) == part
         sample = reps.where(which).where(of_part).select("id", "vec").collect()
         if not sample:
             continue
-        shared = spark.sparkContext.broadcast((np.array([r.id for r in sample]), np.array([r.vec for r in sample])))
-
-        def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            ids, points = shared.value
-            total = np.zeros(len(ids), np.int64)
-            for batch in batches:
-                if batch.num_rows:
-                    own, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-                    vecs = vectors_of(batch.column(2))
-                    for k in range(0, len(ids), BLOCK):
-                        part = slice(k, k + BLOCK)
-                        total[part] += n @ ((vecs @ points[part].T >= least) & (own[:, None] != ids[None, part]))
-            some = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(total[some])], names=["id", "n"])
-
-        counted = reps.select("id", "n", "vec").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-        counted = written(counted, "graph-truth")
+        asked += len(sample)
+        counted = written(_counted(reps, sample, least), "graph-truth")
         if number := counted.count():
             told.append(counted)
             have += number
@@ -447,6 +486,26 @@ def _truth(reps: DataFrame, least: float, audited: int, linked: int) -> DataFram
     return out
 
 
+def _counted(reps: DataFrame, sample: list, least: float) -> DataFrame:
+    """(id, n): links of each of ``sample`` (id, vec) with all vectors, where it has any."""
+    shared = reps.sparkSession.sparkContext.broadcast((np.array([r.id for r in sample]), np.array([r.vec for r in sample])))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, points = shared.value
+        total = np.zeros(len(ids), np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                own, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+                vecs = vectors_of(batch.column(2))
+                for k in range(0, len(ids), BLOCK):
+                    part = slice(k, k + BLOCK)
+                    total[part] += n @ ((vecs @ points[part].T >= least) & (own[:, None] != ids[None, part]))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(total[some])], names=["id", "n"])
+
+    return reps.select("id", "n", "vec").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+
+
 def _audit(truth: DataFrame, found: DataFrame) -> tuple[int, float, float]:
     """Asked vectors with true links, and the share that ``found`` (id, links) has: of all links, and of a vector's in the mean."""
     have = F.least("n", F.coalesce("links", F.lit(0)))
@@ -472,7 +531,7 @@ def near_vectors(
     is null, empty, zero, or holds a null or non-finite component links with nothing and is
     its own component; so does one whose id is null, which is not kept. Vectors of different
     lengths do not link. Rows that repeat an id are rows of their own that share the id's
-    name. An empty table gives no rows.
+    name: each has the links and the component of its vector. An empty table gives no rows.
     """
     rows = vectors.select(
         F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vec_col}`").cast("array<double>").alias("raw")
@@ -482,36 +541,41 @@ def near_vectors(
         " AND forall(raw, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity'))"
     )
     rows = written(rows.select("id", F.when(sound, F.col("raw")).alias("raw")), "graph-rows")
-    equal = written(
-        rows.where("raw IS NOT NULL").groupBy("raw").agg(F.min("id").alias("id"), F.count("*").alias("n")), "graph-equal"
-    )
+    # Numbers ascend with ids, so that the smallest number of a component is that of its smallest id.
+    equal = rows.where("raw IS NOT NULL").groupBy("raw").agg(F.min("id").alias("name"), F.count("*").alias("n"))
+    equal = written(equal.orderBy("name", "raw").withColumn("id", F.monotonically_increasing_id()), "graph-equal")
 
     def scale(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                vecs = unit(vectors_of(batch.column(2)))
+                vecs = unit(vectors_of(batch.column(3)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(list(vecs), pa.list_(pa.float64()))], names=["id", "n", "vec"]
+                    [*batch.columns[:3], pa.array(list(vecs), pa.list_(pa.float64()))], names=["id", "name", "n", "vec"]
                 )
 
     summed, joined = [], []
     for (size,) in equal.select(F.size("raw")).distinct().orderBy(F.size("raw")).collect():  # lengths of vectors
-        reps = equal.where(F.size("raw") == size).select("id", "n", "raw").mapInArrow(scale, "id long, n long, vec array<double>")
-        reps, tried = written(reps, "graph-units"), overlap
-        truth = written(_truth(reps, least, audited, LINKED), "graph-audit")
+        reps = equal.where(F.size("raw") == size).select("id", "name", "n", "raw")
+        reps, tried = written(reps.mapInArrow(scale, "id long, name long, n long, vec array<double>"), "graph-units"), overlap
+        probes = written(probes_of(reps, least), "graph-probes")
+        drawn = probes.select("id", "vec").collect()
+        truth = written(_truth(reps, least, audited, LINKED - len(drawn)), "graph-audit")
+        expected = written(_counted(reps, drawn, least), "graph-expected") if drawn else probes.select("id", "n")
+        every = reps.select("id", "n", "vec").union(probes.select("id", "n", "vec"))
         while True:
-            linked = written(_linked(reps, least, tried, limit), "graph-links")
+            linked = written(_linked(every, least, tried, limit), "graph-links")
             links = written(linked.groupBy("id").agg(F.sum("links").alias("links")), "graph-counts")
-            asked, whole, each = _audit(truth, links)
+            (asked, whole, each), (planted, whole_of, each_of) = _audit(truth, links), _audit(expected, links)
             said = f"{size} components, overlap {tried}: recall {whole:.4f} of links, {each:.4f} of a vector's, by {asked} vectors with links"
+            said += f"; {whole_of:.4f} and {each_of:.4f} by {planted} probes"
             logger.info(said)
-            if min(whole, each) >= RECALL:
+            if min(whole, each, whole_of, each_of) >= RECALL:
                 break
             if tried >= most_overlap:
                 raise RuntimeError(f"too many near vectors were missed; {said}")
             tried *= 2
-        summed.append(links)
-        joined.append(linked.select(F.col("id").alias("a"), F.col("root").alias("b")))
+        summed.append(links.where("id >= 0"))
+        joined.append(linked.where("id >= 0").select(F.col("id").alias("a"), F.col("root").alias("b")))
     if not summed:
         return rows.select(
             F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.col("id").isNotNull().alias("kept")
@@ -521,10 +585,10 @@ def near_vectors(
         links, pairs = links.union(more), pairs.union(others)
     named = components(pairs, "graph-components")
     classes = written(
-        equal.select("raw", "id", "n")
-        .join(links, "id", "left")
+        equal.join(links, "id", "left")
         .join(named.withColumnRenamed("node", "id"), "id", "left")
-        .select("raw", F.expr("coalesce(links, 0) + n - 1 AS links"), F.coalesce("root", "id").alias("root")),
+        .join(equal.select(F.col("id").alias("root"), F.col("name").alias("least")), "root", "left")
+        .select("raw", F.expr("coalesce(links, 0) + n - 1 AS links"), F.coalesce("least", "name").alias("root")),
         "graph-classes",
     )
     return rows.join(classes, "raw", "left").select(
