@@ -20,6 +20,8 @@ from tidemark.llm.toxicity_pu import without_toxic
 
 #: Passages of just over 50 words are to go, and words are seldom shorter than four letters and a space.
 REPEAT_BYTES = 256
+#: Units that the encoder of packing remembers: its workers still hold what earlier stages took.
+KNOWN_UNITS = 60_000
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +46,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents, packed into sequences of at most 4096 tokens."""
-    return packing_digest(docs, tokenizer_file("word_bpe_49k.json"))
+    return packing_digest(docs, tokenizer_file("word_bpe_49k.json"), known=KNOWN_UNITS)
 
 
 def with_length(docs: DataFrame) -> DataFrame:
