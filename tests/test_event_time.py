@@ -1,0 +1,136 @@
+"""Event time: state and late rows over many batches, batches and streams alike."""
+
+import json
+import os
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators.event_time import (
+    END,
+    START,
+    first_within,
+    interval_join,
+    late_rows,
+    sessions,
+    sliding,
+    state_rows,
+    tumbling,
+    untimed,
+)
+from tidemark.streaming.control import StreamControl, finish
+
+SCHEMA = "id long, at timestamp"
+BASE = datetime(2024, 3, 1, tzinfo=timezone.utc)
+
+
+def stamp(hours):
+    return None if hours is None else (BASE + timedelta(hours=hours)).isoformat()
+
+
+@pytest.fixture
+def batches(spark, tmp_path):
+    """A stream of ``SCHEMA`` that takes one of the given batches of (id, hours) at a time."""
+
+    def make(rows, name="in"):
+        folder = tmp_path / name
+        folder.mkdir()
+        for i, batch in enumerate(rows):
+            file = folder / f"{i:04}.json"
+            file.write_text("".join(json.dumps({"id": k, "at": stamp(h)}) + "\n" for k, h in batch))
+            os.utime(file, (1_700_000_000 + i, 1_700_000_000 + i))
+        return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(str(folder))
+
+    return make
+
+
+@pytest.fixture
+def run(spark, tmp_path):
+    def make(rows):
+        control = StreamControl(str(tmp_path / "checkpoint"), available_now=True)
+        writer = rows.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        query = finish(control.configure(writer).start())
+        return spark.read.schema(rows.schema).parquet(str(tmp_path / "out")), query
+
+    return make
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(k, stamp(h)) for k, h in rows], "id long, at string").select(
+        "id", F.col("at").cast("timestamp").alias("at")
+    )
+
+
+def hours(name):
+    return ((F.unix_seconds(name) - int(BASE.timestamp())) / 3600).alias(name)
+
+
+def windows(rows):
+    return sorted(map(tuple, rows.select(hours(START), hours(END), "id", "n").collect()))
+
+
+def test_repeats_go_and_state_stays_bounded(batches, run):
+    # Each id comes in two batches, an hour apart; ids are new all the time.
+    rows = [[(i, i), (i - 1, i)] if i else [(0, 0)] for i in range(30)]
+    out, query = run(first_within(batches(rows), ["id"], "at", "2 hours"))
+    assert sorted(row.id for row in out.collect()) == list(range(30))
+    held = state_rows(query)
+    assert len(held) >= 30 and max(held) <= 8 and late_rows(query) == 0
+
+
+def test_a_key_is_new_again_after_the_horizon_and_late_rows_are_counted(batches, run):
+    rows = [[(1, 0)], [(1, 0.5)], [(2, 10)], [(3, 10)], [(1, 11)], [(4, 0)], [(None, 12), (None, 12)]]
+    out, query = run(first_within(batches(rows), ["id"], "at", "1 hour"))
+    assert sorted((r.id or 0 for r in out.collect())) == [0, 1, 1, 2, 3]
+    assert late_rows(query) == 1
+
+
+def test_windows_come_once_when_final_and_late_rows_are_counted(batches, run):
+    rows = [[(1, 0), (1, 0.5), (2, 1.5)], [(1, 0.9)], [(1, 5)], [(1, 5.5)], [(1, 0.1)], [(1, 9)]]
+    out, query = run(tumbling(batches(rows), "at", "1 hour", "1 hour", ["id"]))
+    assert windows(out) == [(0, 1, 1, 3), (1, 2, 2, 1), (5, 6, 1, 2)]
+    assert late_rows(query) == 1 and max(state_rows(query)) <= 4
+
+
+def test_sessions_merge_over_batches(batches, run):
+    rows = [[(1, 0), (1, 3)], [(1, 1.5)], [(2, 2)], [(1, 20)], [(1, 30)]]
+    out, query = run(sessions(batches(rows), "at", "2 hours", "4 hours", ["id"]))
+    assert windows(out) == [(0, 5, 1, 3), (2, 4, 2, 1), (20, 22, 1, 1)]
+    assert late_rows(query) == 0
+
+
+def test_join_by_interval_and_its_state(spark, batches, run):
+    left = [[(i, i)] for i in range(40)]
+    right = [[(i, i + 0.5), (i, i + 3)] for i in range(40)]
+    one = batches(left, "left").toDF("l", "l_at")
+    two = batches(right, "right").toDF("r", "r_at")
+    out, query = run(interval_join(one, two, [("l", "r")], "l_at", "r_at", "0 hours", "1 hour", "2 hours"))
+    assert sorted(map(tuple, out.select("l", "r").collect())) == [(i, i) for i in range(40)]
+    held = state_rows(query)
+    assert len(held) >= 40 and max(held) <= 24
+    with pytest.raises(ValueError):
+        interval_join(one, one, [], "l_at", "l_at", "0 hours", "1 hour", "2 hours")
+
+
+def test_batches_give_every_window(spark):
+    rows = frame(spark, [(1, 0), (1, 0.5), (1, 4), (None, 4), (2, None)])
+    assert windows(tumbling(rows, "at", "1 hour", "1 hour", ["id"]).fillna({"id": 0})) == [(0, 1, 1, 2), (4, 5, 0, 1), (4, 5, 1, 1)]
+    assert windows(sliding(rows.where("id = 1"), "at", "2 hours", "1 hour", "1 hour", ["id"])) == [
+        (-1, 1, 1, 2),
+        (0, 2, 1, 2),
+        (3, 5, 1, 1),
+        (4, 6, 1, 1),
+    ]
+    assert windows(sessions(rows.where("id = 1"), "at", "1 hour", "1 hour", ["id"])) == [(0, 1.5, 1, 2), (4, 5, 1, 1)]
+    assert sorted(r.id or 0 for r in first_within(rows, ["id"], "at", "1 hour").collect()) == [0, 1]
+    assert [r.id for r in untimed(rows, "at").collect()] == [2]
+    for empty in (tumbling, sessions):
+        assert empty(rows.limit(0), "at", "1 hour", "1 hour", ["id"]).collect() == []
+
+
+def test_join_of_batches_takes_both_ends_of_the_interval(spark):
+    left = frame(spark, [(1, 2), (None, 2), (2, None)]).toDF("l", "l_at")
+    right = frame(spark, [(1, 1), (1, 0.9), (1, 4), (1, 4.1), (None, 2), (2, 2)]).toDF("r", "r_at")
+    pairs = interval_join(left, right, [("l", "r")], "l_at", "r_at", "1 hour", "2 hours", "1 hour")
+    assert sorted(r.r_at for r in pairs.select(hours("r_at")).collect()) == [1, 4]

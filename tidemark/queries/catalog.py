@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tidemark.functions.sql import sql_name, sql_text
 from tidemark.operators.decode import decode_changes
 from tidemark.operators.encode import encode_rows
+from tidemark.operators.event_time import END, START, first_within, interval_join, sessions, sliding, tumbling
 from tidemark.operators.filters import require_keys
 from tidemark.operators.generate import change_records
 from tidemark.operators.latest import latest
@@ -289,6 +290,66 @@ def restart_no_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_values(spark, job.output_path).groupBy("value").agg(F.count("*").alias("n"))
 
 
+# Event time, as streams. Windows that the last watermark has not passed stay open and are not in the result.
+
+DELAY = "1 hour"
+
+
+def _timed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.timed_events(_event_stream(spark, sf_dir))
+
+
+def _ended(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
+    """What the stream ``rows`` gives until the table is done."""
+    root = workspace(spark, purpose)
+    control = StreamControl(f"{root}/checkpoint", available_now=True)
+    finish(control.configure(rows.writeStream.format("parquet").option("path", f"{root}/rows")).start())
+    return spark.read.schema(rows.schema).parquet(f"{root}/rows")
+
+
+def _windows(rows: DataFrame, *names: str) -> DataFrame:
+    return rows.select(F.unix_micros(START).alias("start_us"), F.unix_micros(END).alias("end_us"), *names)
+
+
+def window_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    totals = [F.min(ID).alias("least_id"), F.sum("user_id").alias("user_sum")]
+    rows = tumbling(_timed_stream(spark, sf_dir), "at", "6 hours", DELAY, ["event_type"], totals)
+    return _windows(_ended(spark, rows, "window_tumbling"), "event_type", "n", "least_id", "user_sum")
+
+
+def window_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sliding(_timed_stream(spark, sf_dir), "at", "6 hours", "2 hours", DELAY, ["event_type"])
+    return _windows(_ended(spark, rows, "window_sliding"), "event_type", "n")
+
+
+def window_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    totals = [F.max(ID).alias("greatest_id")]
+    rows = sessions(_timed_stream(spark, sf_dir), "at", "12 hours", DELAY, ["user_id"], totals)
+    return _windows(_ended(spark, rows, "window_session"), "user_id", "n", "greatest_id")
+
+
+def repeats_within_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event is delivered twice and comes out once."""
+    twice = _timed_stream(spark, sf_dir).select(ID, "at", F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery"))
+    rows = _ended(spark, first_within(twice, [ID], "at", DELAY), "repeats_within_horizon")
+    return rows.select(ID, F.unix_micros("at").alias("at_us"))
+
+
+def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases up to 6 hours after a click of the same user."""
+    events = _timed_stream(spark, sf_dir)
+
+    def side(kind: str) -> DataFrame:
+        rows = events.where(F.col("event_type") == kind)
+        return rows.select(F.col(ID).alias(f"{kind}_id"), F.col("user_id").alias(f"{kind}_user"), F.col("at").alias(f"{kind}_at"))
+
+    keys = [("click_user", "purchase_user")]
+    pairs = interval_join(side("click"), side("purchase"), keys, "click_at", "purchase_at", "0 hours", "6 hours", DELAY)
+    rows = _ended(spark, pairs, "stream_interval_join")
+    wait = (F.unix_micros("purchase_at") - F.unix_micros("click_at")).alias("wait_us")
+    return rows.select("click_id", "purchase_id", wait)
+
+
 # Bytes.
 
 
@@ -431,6 +492,13 @@ CATALOG: dict[str, Query] = {
     "latest_state": Query(latest_state, _sql_latest()),
     "latest_state_stream": Query(latest_state_stream, _sql_latest()),
     "rejects_landing": Query(rejects_landing, _sql_rejects()),
+    "window_tumbling": Query(window_tumbling, oracle.tumbling()),
+    "window_sliding": Query(window_sliding, oracle.sliding()),
+    "window_session": Query(window_session, oracle.sessions()),
+    "repeats_within_horizon": Query(
+        repeats_within_horizon, "SELECT event_id, epoch_us(ts) AS at_us FROM events WHERE ts IS NOT NULL"
+    ),
+    "stream_interval_join": Query(stream_interval_join, oracle.interval_join()),
     "json_table_source": Query(
         json_table_source, _sql_events([*ENVELOPE_FIELDS, "asset", "assigned_to"])
     ),

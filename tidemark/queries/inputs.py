@@ -46,6 +46,17 @@ def epoch_millis(df: DataFrame, name: str) -> Column:
     return F.unix_millis(name)
 
 
+def timed_events(events: DataFrame) -> DataFrame:
+    """Events with their time as ``at``, an instant: their local time, read as UTC."""
+    micros = (
+        "cast(cast(cast(ts as timestamp_ntz) - timestamp_ntz'1970-01-01 00:00:00' as interval second)"
+        " as decimal(20, 6)) * 1000000"
+    )
+    return events.select(
+        EVENT_MESSAGE_ID, "user_id", "event_type", F.expr(f"timestamp_micros(cast({micros} as bigint))").alias("at")
+    )
+
+
 def kind(row_id: str) -> Column:
     """One hex digit per row, by which damage is chosen."""
     return F.substring(F.md5(F.concat(F.col(row_id).cast("string"), F.lit("#kind"))), 1, 1)

@@ -154,3 +154,43 @@ def cut_texts() -> str:
         f" CASE WHEN NOT {cut} THEN text END AS valid_text,"
         " CAST(octet_length(encode(text)) AS INTEGER) AS kept_bytes FROM documents"
     )
+
+
+# Event time. A stream's windows are final when the last watermark, an hour behind the last event, has passed them.
+HOUR_US = 3_600_000_000
+FINAL = f"(SELECT epoch_us(max(ts)) - {HOUR_US} FROM events)"
+
+
+def tumbling() -> str:
+    return f"""
+        SELECT start_us, start_us + 6 * {HOUR_US} AS end_us, event_type, count(*) AS n, min(event_id) AS least_id,
+               CAST(sum(user_id) AS BIGINT) AS user_sum
+        FROM (SELECT *, epoch_us(ts) // (6 * {HOUR_US}) * (6 * {HOUR_US}) AS start_us FROM events WHERE ts IS NOT NULL)
+        WHERE start_us + 6 * {HOUR_US} <= {FINAL} GROUP BY start_us, event_type"""
+
+
+def sliding() -> str:
+    return f"""
+        SELECT start_us, start_us + 6 * {HOUR_US} AS end_us, event_type, count(*) AS n
+        FROM (SELECT event_type, (epoch_us(ts) // (2 * {HOUR_US}) - back) * (2 * {HOUR_US}) AS start_us
+              FROM events, (VALUES (0), (1), (2)) AS earlier(back) WHERE ts IS NOT NULL)
+        WHERE start_us + 6 * {HOUR_US} <= {FINAL} GROUP BY start_us, event_type"""
+
+
+def sessions() -> str:
+    gap = 12 * HOUR_US
+    return f"""
+        SELECT min(us) AS start_us, max(us) + {gap} AS end_us, user_id, count(*) AS n, max(event_id) AS greatest_id
+        FROM (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY us, event_id ROWS UNBOUNDED PRECEDING) AS session
+              FROM (SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY user_id ORDER BY us, event_id) <= {gap}
+                                   THEN 0 ELSE 1 END AS opens
+                    FROM (SELECT user_id, event_id, epoch_us(ts) AS us FROM events WHERE ts IS NOT NULL)))
+        GROUP BY user_id, session HAVING max(us) + {gap} <= {FINAL}"""
+
+
+def interval_join() -> str:
+    return f"""
+        SELECT c.event_id AS click_id, p.event_id AS purchase_id, epoch_us(p.ts) - epoch_us(c.ts) AS wait_us
+        FROM events c JOIN events p ON c.user_id = p.user_id
+        WHERE c.event_type = 'click' AND p.event_type = 'purchase'
+              AND epoch_us(p.ts) - epoch_us(c.ts) BETWEEN 0 AND 6 * {HOUR_US}"""
