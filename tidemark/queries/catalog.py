@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from tidemark.operators.event_time import END, START, first_within, interval_joi
 from tidemark.operators.filters import require_keys
 from tidemark.operators.generate import change_records
 from tidemark.operators.latest import latest
+from tidemark.operators.patterns import anomalies, merged, moments, sequences
 from tidemark.operators.project import (
     flatten,
     flatten_generated,
@@ -350,6 +352,36 @@ def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("click_id", "purchase_id", wait)
 
 
+# Sequences and outliers, batch.
+
+
+def pattern_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A click, a view after it and a purchase after that, of one user within 2 days."""
+    events = inputs.timed_events(inputs.table(spark, sf_dir, "events"))
+    steps = [f"event_type = '{kind}'" for kind in ("click", "view", "purchase")]
+    return sequences(events, "user_id", "at", ID, steps, timedelta(days=2))
+
+
+def pattern_next(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two errors of one user, one right after the other, within a day."""
+    events = inputs.timed_events(inputs.table(spark, sf_dir, "events"))
+    return sequences(events, "user_id", "at", ID, ["event_type = 'error'"] * 2, timedelta(days=1), strict=True)
+
+
+def event_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Moments per kind, merged from those per kind and user."""
+    events = inputs.table(spark, sf_dir, "events", "event_type", "user_id", "value")
+    rows = merged(moments(events, ["event_type", "user_id"], "value", "0.01"), ["event_type"])
+    return rows.select("event_type", "n", F.col("s").cast("long").alias("s"), F.col("q").cast("string").alias("q"))
+
+
+def anomalous_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values over 3 deviations from those of their kind in the 7 days before."""
+    events = inputs.timed_events(inputs.table(spark, sf_dir, "events"), "value")
+    rows = anomalies(events, "event_type", "at", "value", timedelta(days=1), 7, 3, "0.01", least=10)
+    return rows.select(ID, "event_type", "past_n")
+
+
 # Bytes.
 
 
@@ -499,6 +531,10 @@ CATALOG: dict[str, Query] = {
         repeats_within_horizon, "SELECT event_id, epoch_us(ts) AS at_us FROM events WHERE ts IS NOT NULL"
     ),
     "stream_interval_join": Query(stream_interval_join, oracle.interval_join()),
+    "pattern_sequence": Query(pattern_sequence, oracle.sequence()),
+    "pattern_next": Query(pattern_next, oracle.next_to_each_other()),
+    "event_moments": Query(event_moments, oracle.event_moments()),
+    "anomalous_values": Query(anomalous_values, oracle.anomalies()),
     "json_table_source": Query(
         json_table_source, _sql_events([*ENVELOPE_FIELDS, "asset", "assigned_to"])
     ),

@@ -46,14 +46,14 @@ def epoch_millis(df: DataFrame, name: str) -> Column:
     return F.unix_millis(name)
 
 
-def timed_events(events: DataFrame) -> DataFrame:
-    """Events with their time as ``at``, an instant: their local time, read as UTC."""
+def timed_events(events: DataFrame, *more: str) -> DataFrame:
+    """Events with their time as ``at``, an instant: their local time, read as UTC; and columns as they are."""
     micros = (
         "cast(cast(cast(ts as timestamp_ntz) - timestamp_ntz'1970-01-01 00:00:00' as interval second)"
         " as decimal(20, 6)) * 1000000"
     )
     return events.select(
-        EVENT_MESSAGE_ID, "user_id", "event_type", F.expr(f"timestamp_micros(cast({micros} as bigint))").alias("at")
+        EVENT_MESSAGE_ID, "user_id", "event_type", F.expr(f"timestamp_micros(cast({micros} as bigint))").alias("at"), *more
     )
 
 

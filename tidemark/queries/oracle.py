@@ -194,3 +194,47 @@ def interval_join() -> str:
         FROM events c JOIN events p ON c.user_id = p.user_id
         WHERE c.event_type = 'click' AND p.event_type = 'purchase'
               AND epoch_us(p.ts) - epoch_us(c.ts) BETWEEN 0 AND 6 * {HOUR_US}"""
+
+
+# Sequences and outliers.
+_ORDERED = "(SELECT *, row_number() OVER (ORDER BY ts, event_id) AS place FROM events WHERE ts IS NOT NULL)"
+_CENTS = "CAST(round(value / 0.01) AS HUGEINT)"
+
+
+def sequence() -> str:
+    return f"""
+        SELECT c.user_id, c.event_id AS step_1, v.event_id AS step_2, p.event_id AS step_3
+        FROM (SELECT * FROM {_ORDERED} WHERE event_type = 'click') c
+        ASOF JOIN (SELECT * FROM {_ORDERED} WHERE event_type = 'view') v ON c.user_id = v.user_id AND v.place > c.place
+        ASOF JOIN (SELECT * FROM {_ORDERED} WHERE event_type = 'purchase') p
+            ON v.user_id = p.user_id AND p.place > v.place
+        WHERE epoch_us(p.ts) - epoch_us(c.ts) <= 48 * {HOUR_US}"""
+
+
+def next_to_each_other() -> str:
+    return f"""
+        SELECT user_id, event_id AS step_1, following AS step_2
+        FROM (SELECT *, lead(event_id) OVER w AS following, lead(event_type) OVER w AS then_type, lead(ts) OVER w AS then_ts
+              FROM events WHERE ts IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+        WHERE event_type = 'error' AND then_type = 'error' AND epoch_us(then_ts) - epoch_us(ts) <= 24 * {HOUR_US}"""
+
+
+def event_moments() -> str:
+    return f"""
+        SELECT event_type, count(*) AS n, CAST(sum({_CENTS}) AS BIGINT) AS s,
+               CAST(sum({_CENTS} * {_CENTS}) AS VARCHAR) AS q
+        FROM events WHERE value IS NOT NULL GROUP BY event_type"""
+
+
+def anomalies() -> str:
+    return f"""
+        WITH valued AS (SELECT event_id, event_type, {_CENTS} AS x, epoch_us(ts) // (24 * {HOUR_US}) AS day
+                        FROM events WHERE value IS NOT NULL AND ts IS NOT NULL AND event_type IS NOT NULL),
+             past AS (SELECT e.event_type, e.day, sum(d.n) AS n, sum(d.s) AS s, sum(d.q) AS q
+                      FROM (SELECT DISTINCT event_type, day FROM valued) e
+                      JOIN (SELECT event_type, day, CAST(count(*) AS HUGEINT) AS n, CAST(sum(x) AS HUGEINT) AS s,
+                                   CAST(sum(x * x) AS HUGEINT) AS q FROM valued GROUP BY event_type, day) d
+                          ON d.event_type = e.event_type AND d.day BETWEEN e.day - 7 AND e.day - 1
+                      GROUP BY e.event_type, e.day)
+        SELECT event_id, event_type, CAST(n AS BIGINT) AS past_n FROM valued JOIN past USING (event_type, day)
+        WHERE n >= 10 AND (n * x - s) * (n * x - s) > 9 * (n * q - s * s)"""
