@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import quality_pu, toxicity_pu
 from tidemark.llm.common import table
-from tidemark.llm.pu_learning import Rows, logistic, train
-from tidemark.llm.pu_text import fold
+from tidemark.llm.pu_learning import Rows, class_prior, logistic, train
+from tidemark.llm.pu_text import fit, fold
+from tidemark.llm.text_features import SIZE
 
+SMALL = "/root/testdata/sf0.001"
 MIDDLE = "/root/testdata/sf0.1"
 
 
@@ -91,3 +93,103 @@ def test_each_row_is_judged_by_its_own_text(spark):
     kept = toxicity_pu.without_toxic(docs, labels)
     assert kept.columns == docs.columns
     assert {r.score for r in kept.collect()} == {i for i in range(300) if i % 4} | {-1, -3}
+
+
+@pytest.mark.parametrize("share", [0.05, 0.3, 0.8])
+def test_class_prior_is_found_without_negatives(share):
+    rng = np.random.default_rng(4)
+
+    def sample(count, positive):
+        marks = np.where(rng.random(count) < positive, 0, 1)
+        noisy = np.where(rng.random(count) < 0.1, 2, marks)  # a tenth of both kinds look alike
+        return rows([[int(m), *rng.integers(5, 60, 6).tolist()] for m in noisy])
+
+    assert abs(class_prior(sample(1500, 1.0), sample(6000, share), 64) - share) < 0.06
+
+
+def test_class_prior_of_next_to_nothing():
+    assert class_prior(rows([[1]]), rows([[1], [2]]), 8) == 0.5
+    assert class_prior(rows([]), rows([]), 8) == 0.5
+
+
+@pytest.mark.parametrize(
+    ("module", "label", "most"),
+    [(toxicity_pu, "toxic", 0.1), (quality_pu, "quality", 0.1)],
+)
+def test_estimated_prior_against_the_labels(spark, module, label, most):
+    """Labels of 0 serve as the oracle here, and nowhere else."""
+    docs, labels = table(spark, MIDDLE, "documents"), table(spark, MIDDLE, "labels")
+    settings = {"decay": toxicity_pu.DECAY} if module is toxicity_pu else {"steps": quality_pu.STEPS}
+    model = fit(docs, labels, label, module.features, module.held_out, **settings)
+    share = labels.where(~module.held_out("doc_id")).agg(F.avg(label)).first()[0]
+    assert abs(model.prior - share) < most
+
+
+def test_labels_of_0_change_nothing(spark):
+    docs = spark.range(300).select(
+        F.col("id").alias("doc_id"), F.expr("concat('w', id % 7, ' ', if(id % 4 = 0, 'bad', 'good'))").alias("text")
+    )
+    labels = docs.selectExpr("doc_id", "int(doc_id % 4 = 0) AS quality")
+    a, b = (
+        sorted(map(tuple, quality_pu.quality(docs, x).collect())) for x in (labels, labels.where("quality = 1"))
+    )
+    assert a == b
+
+
+def dense_model(pos, unl, prior, steps, rate=0.05, decay=1e-5, least_rows=3, least_z=4.0):
+    """The same learning over 0/1 matrices, risk by risk as the formula says."""
+    shares = pos.mean(0), unl.mean(0)
+    count = pos.sum(0) + unl.sum(0)
+    pooled = count / (len(pos) + len(unl))
+    error = np.sqrt(pooled * (1 - pooled) * (1 / len(pos) + 1 / len(unl))) + 1e-12
+    keep = (count >= least_rows) & (np.abs(shares[0] - shares[1]) >= least_z * error)
+    x = [np.hstack([m[:, keep], np.ones((len(m), 1))]) for m in (pos, unl)]
+    w = np.zeros(keep.sum() + 1)
+    prior = min(max(prior, 1e-3), 1 - 1e-3)
+    w[-1] = np.log(prior / (1 - prior))
+    mean, square = np.zeros_like(w), np.zeros_like(w)
+    penalty = np.append(np.full(keep.sum(), decay), 0)
+    for step in range(1, steps + 1):
+        f_pos, f_unl = x[0] @ w, x[1] @ w
+        negative = np.logaddexp(0, f_unl).mean() - prior * np.logaddexp(0, f_pos).mean()
+        up = (x[0] * -logistic(-f_pos)[:, None]).mean(0) * prior
+        down = (x[1] * logistic(f_unl)[:, None]).mean(0) - prior * (x[0] * logistic(f_pos)[:, None]).mean(0)
+        slope = (-down if negative < 0 else up + down) + penalty * w
+        mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope**2
+        w = w - rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-6)
+    full = np.zeros(pos.shape[1])
+    full[keep] = w[:-1]
+    return full, w[-1]
+
+
+@pytest.mark.parametrize(
+    ("module", "label", "settings"),
+    [(toxicity_pu, "toxic", {"decay": toxicity_pu.DECAY}), (quality_pu, "quality", {"steps": quality_pu.STEPS})],
+)
+def test_scores_against_dense_matrices(spark, module, label, settings):
+    docs, labels = table(spark, SMALL, "documents"), table(spark, SMALL, "labels")
+    make = toxicity_pu.toxicity if module is toxicity_pu else quality_pu.quality
+    got = {r.doc_id: r.score for r in make(docs, labels).collect()}
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    positive = {r.doc_id for r in labels.collect() if r[label] == 1}
+    modulus, held = (3, 1) if module is toxicity_pu else (5, 0)
+    learned = [i for i in texts if zlib.crc32(str(i).encode()) % modulus != held]
+    of_text = module.features()
+    found = {i: of_text(t) for i, t in texts.items()}
+    used = np.unique(np.concatenate([f for f in found.values() if len(f)]))
+    assert used[-1] < SIZE
+
+    def matrix(ids):
+        out = np.zeros((len(ids), len(used)))
+        for i, key in enumerate(ids):
+            out[i, np.searchsorted(used, found[key])] = 1
+        return out
+
+    prior = fit(docs, labels, label, module.features, module.held_out, **settings).prior
+    assert prior > 0
+    weights, bias = dense_model(
+        matrix([i for i in learned if i in positive]), matrix(learned), prior, settings.get("steps", 300), decay=settings.get("decay", 1e-5)
+    )
+    ids = sorted(texts)
+    want = logistic(matrix(ids) @ weights + bias)
+    assert np.abs(want - np.array([got[i] for i in ids])).max() < 1e-3

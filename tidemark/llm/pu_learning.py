@@ -38,6 +38,12 @@ class Rows:
         before = np.concatenate(([0], np.cumsum(which)))
         return Rows(number[self.features[which]].astype(np.int32), before[self.starts])
 
+    def every_other(self, first: int) -> Rows:
+        """Each second row, from row ``first`` on."""
+        sizes = np.diff(self.starts)
+        which = np.arange(len(self)) % 2 == first
+        return Rows(self.features[np.repeat(which, sizes)], np.concatenate(([0], np.cumsum(sizes[which]))))
+
     def sums(self, weights: np.ndarray) -> np.ndarray:
         total = np.concatenate(([0.0], np.cumsum(weights[self.features])))
         return total[self.starts[1:]] - total[self.starts[:-1]]
@@ -102,3 +108,44 @@ def train(
     weights = np.zeros(size, np.float32)
     weights[keep] = w[:-1]
     return weights, float(w[-1])
+
+
+#: Least share of the held-back positives that a threshold must reach to tell about the prior.
+LEAST_REACHED = 0.5
+#: Prior of the classifier whose order of rows the estimate uses; only the order counts.
+NO_PRIOR = 0.5
+
+
+def class_prior(positive: Rows, unlabelled: Rows, size: int, **training) -> float:
+    """Share of positives among the unlabelled rows, from these two samples alone.
+
+    A classifier is fitted on one half of each and orders the other half. Above any
+    threshold lie a share p of the positives and u of the unlabelled rows, and since the
+    unlabelled rows above it hold at least all their positives there, u / p is at least the
+    prior; it equals the prior where nothing else lies above. The smallest u / p is taken,
+    at the threshold where it is smallest with the sampling error of both shares added,
+    among those that reach half of the positives: trusted positives need not be spread like
+    the others, and a narrower part of them tells less. Each half takes its turn; the
+    smaller bound counts. Sums are rounded, or those of equal rows would differ by the order
+    of adding. It is 0.5 when there are fewer than two rows of a kind.
+    """
+    if len(positive) < 2 or len(unlabelled) < 2:
+        return NO_PRIOR
+    found = []
+    for half in (0, 1):
+        weights, _ = train(positive.every_other(half), unlabelled.every_other(half), NO_PRIOR, size, **training)
+        others = (x.every_other(1 - half).sums(weights.astype(np.float64)) for x in (positive, unlabelled))
+        found.append(_least_ratio(*(np.sort(sums.round(6)) for sums in others)))
+    return float(np.clip(min(found), 0.0, 1.0))
+
+
+def _least_ratio(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The smallest share of ``unlabelled`` by share of ``positive`` above a threshold; both are sorted."""
+    at = np.unique(positive)
+    reached = 1 - np.searchsorted(positive, at) / len(positive)
+    share = 1 - np.searchsorted(unlabelled, at) / len(unlabelled)
+    # Deviation that a share of n rows exceeds with a probability under a twentieth.
+    error = sum(np.sqrt(np.log(40) / (2 * len(x))) for x in (positive, unlabelled))
+    bound = np.where(reached >= LEAST_REACHED, (share + error) / reached, np.inf)
+    best = int(np.argmin(bound))
+    return float(share[best] / reached[best])

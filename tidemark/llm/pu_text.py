@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import small_batches, trimmed
-from tidemark.llm.pu_learning import Rows, logistic, train
+from tidemark.llm.pu_learning import Rows, class_prior, logistic, train
 from tidemark.llm.text_features import SIZE
 
 MOST_POSITIVES = 6_000
@@ -67,20 +67,19 @@ def fit(
     """Learn from documents that are not ``held_out``.
 
     Trusted positives are those whose label is 1; the unlabelled sample is drawn from all
-    documents without looking at labels. The class prior is the share of 1 among the
-    labels that are not held out (0.5 without any). Both samples are bounded, by
-    ``most_positives`` and ``most_unlabelled``; of a document labelled twice, a 1 counts.
+    documents without looking at labels. The class prior is estimated from these two samples
+    (``class_prior``); labels other than 1 are never looked at. Both samples are bounded, by
+    ``most_positives`` and ``most_unlabelled``; a document counts once however often it is labelled.
     """
     known = (
         labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"))
-        .where(~held_out("id") & F.col("label").isin(0, 1) & F.col("id").isNotNull())
-        .groupBy("id")
-        .agg(F.max("label").alias("label"))
+        .where(~held_out("id") & (F.col("label") == 1) & F.col("id").isNotNull())
+        .select("id")
+        .distinct()
     )
     small_batches(docs.sparkSession)
-    prior = known.agg(F.avg("label")).first()[0]
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    trusted = _drawn(known.where("label = 1"), "id", most_positives, 1).select("id")
+    trusted = _drawn(known, "id", most_positives, 1)
     # Bounded by most_positives, hence safe to broadcast.
     positive = texts.join(F.broadcast(trusted), "id", "left_semi")
     unlabelled = _drawn(texts.where(~held_out("id")), "id", most_unlabelled, 2)
@@ -88,8 +87,9 @@ def fit(
     def rows(sample: DataFrame) -> Rows:
         return Rows.of([r.found for r in featured(sample, features).toLocalIterator()])
 
-    prior = 0.5 if prior is None else float(prior)
-    weights, bias = train(rows(positive), rows(unlabelled), prior, SIZE, **training)
+    samples = rows(positive), rows(unlabelled)
+    prior = class_prior(*samples, SIZE, **training)
+    weights, bias = train(*samples, prior, SIZE, **training)
     return Classifier(weights, bias, prior)
 
 

@@ -2,7 +2,7 @@
 
 The non-negative unbiased risk is minimised over features of a text's appearance: shapes
 of its tokens and their shares, repetition, line and word lengths, signs. Labels of 0 are
-used for the class prior only.
+not used; the class prior is estimated from the two samples.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def quality(
     A null or empty text has the score of a text without tokens; a null id is not held out
     and its label is not learned. Repeated rows each get the same score. Ids only say which
     labels may be learned; other columns are not looked at. An empty table gives no rows,
-    and without any trusted text every score is the prior.
+    and without any trusted text every score is 0.5.
     """
     model = fit(docs, labels, "quality", features, held_out, id_col, text_col, **{"steps": STEPS, **settings})
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))

@@ -1,7 +1,7 @@
 """Toxicity: non-negative positive-unlabelled learning from confirmed toxic texts and unlabelled ones.
 
 Features are the words of a text and the beginnings of its longer words. Labels of 0
-are used for the class prior only.
+are not used; the class prior is estimated from the two samples.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ def toxicity(
     A null or empty text has the score of a text without words; a null id is not held out
     and its label is not learned. Repeated rows each get the same score. Ids only say which
     labels may be learned; other columns are not looked at. An empty table gives no rows,
-    and without any toxic label every score is the prior.
+    and without any toxic label every score is 0.5.
     """
     model = fit(docs, labels, "toxic", features, held_out, id_col, text_col, **{"decay": DECAY, **settings})
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
