@@ -1,0 +1,94 @@
+"""Folders by value: nothing lost, hot values in several tasks, batches replaced as a whole."""
+
+from collections import Counter
+from statistics import median
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.sinks.partitioned import TASK_BYTES, land_by_value, landed_by_value
+from tidemark.sinks.rolling import RollingPolicy
+from tidemark.streaming.control import StreamControl, finish
+
+
+def test_values_null_empty_and_odd(spark, tmp_path):
+    rows = [(1, "a"), (2, None), (3, ""), (4, "a/b=c %"), (5, "1"), (5, "1"), (6, "é"), (None, "a")]
+    df = spark.createDataFrame(rows, "id long, kind string")
+    land_by_value(df, f"{tmp_path}/out", ["kind"])
+    got = landed_by_value(spark, f"{tmp_path}/out", df.schema, ["kind"])
+    assert got.columns == ["id", "kind", "by_kind"]
+    assert Counter((r.id, r.kind) for r in got.collect()) == Counter(rows)
+    assert all((r.kind or None) == r.by_kind for r in got.collect())
+    files = got.where("by_kind = '1'").inputFiles()
+    assert files and [r.id for r in got.where("by_kind = '1'").collect()] == [5, 5]
+
+
+def test_two_columns_and_an_empty_frame(spark, tmp_path):
+    df = spark.range(100).selectExpr("id", "id % 3 AS `a.b`", "string(id % 2) AS c")
+    land_by_value(df, f"{tmp_path}/two", ["a.b", "c"], file_format="parquet")
+    got = landed_by_value(spark, f"{tmp_path}/two", df.schema, ["a.b", "c"], "parquet")
+    assert got.count() == 100 and got.where("`by_a.b` = '2' AND by_c = '1'").count() == 16
+    land_by_value(df.where("false"), f"{tmp_path}/none", ["c"])
+    assert landed_by_value(spark, f"{tmp_path}/none", df.schema, ["c"]).count() == 0
+    assert landed_by_value(spark, f"{tmp_path}/never", df.schema, ["c"]).count() == 0
+
+
+def test_a_hot_value_is_written_by_several_tasks_of_like_size(spark, tmp_path):
+    """Two thirds of the rows have one value; its files are alike, and no task has over twice its share of all rows."""
+    source = f"{tmp_path}/source"
+    spark.range(0, 120_000, numPartitions=40).selectExpr(
+        "id", "if(id % 3 < 2, 'hot', concat('k', id % 20)) AS kind", "sha2(string(id), 512) AS filling"
+    ).write.parquet(source)
+    df = spark.read.parquet(source)
+    before = spark.conf.get(TASK_BYTES)
+    land_by_value(df, f"{tmp_path}/out", ["kind"], policy=RollingPolicy(max_part_bytes=1 << 20))
+    assert spark.conf.get(TASK_BYTES) == before
+    got = landed_by_value(spark, f"{tmp_path}/out", df.schema, ["kind"])
+    assert got.select("id").distinct().count() == got.count() == 120_000
+    per_file = got.groupBy("by_kind", F.input_file_name().alias("file")).count().collect()
+    hot = [r["count"] for r in per_file if r.by_kind == "hot"]
+    assert len(hot) >= 4 and sum(hot) == 80_000 and max(hot) <= 2 * median(hot)
+    by_task = Counter()
+    for r in per_file:  # a file is named by its task
+        by_task[r.file.rsplit("/", 1)[1].split("-")[1]] += r["count"]
+    assert max(by_task.values()) <= 2 * 120_000 / len(by_task)
+
+
+def test_a_file_is_bounded_by_records(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id", "'x' AS kind")
+    land_by_value(df, f"{tmp_path}/out", ["kind"], policy=RollingPolicy(max_part_bytes=1000, record_bytes=10))
+    got = landed_by_value(spark, f"{tmp_path}/out", df.schema, ["kind"])
+    sizes = [r["count"] for r in got.groupBy(F.input_file_name().alias("f")).count().collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 100
+
+
+def test_a_stream_and_a_batch_run_again(spark, tmp_path):
+    source, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    schema = "id long, kind string"
+    for start in (0, 50):
+        spark.range(start, start + 50).selectExpr("id", "string(id % 4) AS kind").coalesce(1).write.mode("append").json(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(source)
+    control = StreamControl(f"{tmp_path}/checkpoint", available_now=True)
+    finish(land_by_value(stream, out, ["kind"], control))
+    shape = spark.read.json(source).select("id", "kind").schema
+    assert sorted(r.id for r in landed_by_value(spark, out, shape, ["kind"]).collect()) == list(range(100))
+    # The commit of the last batch is lost: it is run again and replaces its folder.
+    last = max((tmp_path / "checkpoint" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    last.unlink()
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    finish(land_by_value(stream, out, ["kind"], control))
+    assert sorted(r.id for r in landed_by_value(spark, out, shape, ["kind"]).collect()) == list(range(100))
+
+
+def test_refusals(spark, tmp_path):
+    df = spark.range(3)
+    with pytest.raises(ValueError, match="at least one"):
+        land_by_value(df, f"{tmp_path}/x", [])
+    with pytest.raises(ValueError, match="StreamControl"):
+        land_by_value(spark.readStream.format("rate").load(), f"{tmp_path}/x", ["value"])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="adaptive"):
+            land_by_value(df, f"{tmp_path}/x", ["id"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

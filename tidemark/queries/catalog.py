@@ -37,6 +37,7 @@ from tidemark.schema import (
     narrow,
 )
 from tidemark.sinks.files import land_json, land_text
+from tidemark.sinks.partitioned import land_by_value, landed_by_value
 from tidemark.sinks.rolling import MIB, RollingPolicy
 from tidemark.sinks.tables import create_json_table, insert_select
 from tidemark.sinks.versions import KEPT, REJECTED, keep_snapshot, land_with_rejects, landed, snapshot
@@ -221,6 +222,14 @@ def rejects_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both[0].union(both[1])
 
 
+def partitioned_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = inputs.table_stream(spark, sf_dir, "events", "event_id", "event_type", "props")
+    root = workspace(spark, "partitioned_landing")
+    control = StreamControl(f"{root}/checkpoint", available_now=True)
+    finish(land_by_value(rows, f"{root}/landed", ["event_type"], control))
+    return landed_by_value(spark, f"{root}/landed", rows.schema, ["event_type"])
+
+
 def filtered_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = inputs.event_messages(inputs.table_stream(spark, sf_dir, "events"))
     job = LandingJob(**_job(spark, "filtered_landing"))
@@ -521,6 +530,9 @@ CATALOG: dict[str, Query] = {
     "rolled_landing": Query(
         rolled_landing, "SELECT unnest(string_split(text, chr(10))) AS value FROM documents"
     ),
+    "partitioned_landing": Query(
+        partitioned_landing, "SELECT event_id, event_type, props, nullif(event_type, '') AS by_event_type FROM events"
+    ),
     "latest_state": Query(latest_state, _sql_latest()),
     "latest_state_stream": Query(latest_state_stream, _sql_latest()),
     "rejects_landing": Query(rejects_landing, _sql_rejects()),
