@@ -132,3 +132,10 @@ def test_rate_stream(spark):
     stream = change_stream(spark, rows_per_second=5, count=2)
     assert stream.isStreaming
     assert stream.schema.simpleString() == change_schema(count=2).simpleString()
+
+
+def test_one_partition_of_ids_is_spread_over_the_cores(spark):
+    ids = spark.range(0, 400, 1, numPartitions=1)
+    rows = change_records(ids, timestamp_ms=F.lit(0))
+    assert rows.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism > 1
+    assert rows.count() == 400
