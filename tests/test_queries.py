@@ -1,10 +1,13 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+from pathlib import Path
+
 import duckdb
 import pytest
 
 import __spark_entry__ as contract
 from tidemark.queries.catalog import CATALOG
+from tidemark.streaming.workspace import shared_root
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -47,3 +50,15 @@ def test_contract(spark):
 def test_queries_read_whole_tables(duck, name):
     sql = CATALOG[name].sql.lower()
     assert " limit " not in sql and "sample" not in sql
+
+
+def test_gen_landing_lands_compressed(spark, duck, sf_dir):
+    root = Path(shared_root(spark))
+    before = set(root.glob("gen_landing-*"))
+    got = CATALOG["gen_landing"].run(spark, sf_dir)
+    (folder,) = set(root.glob("gen_landing-*")) - before
+    landed = list(folder.rglob("part-*"))
+    assert landed
+    assert all(path.name.endswith(".gz") for path in landed)
+    want = duck.execute(CATALOG["gen_landing"].sql)
+    assert got.count() == len(want.fetchall())
