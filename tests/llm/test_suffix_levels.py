@@ -97,3 +97,15 @@ def test_keys_tell_windows_apart():
     data = bytes(range(256)) * 2
     keys = suffix_keys(data, 400)
     assert len(set(keys.tolist())) == len(keys)
+
+
+def test_short_repeats_counted_beside_the_cut(spark):
+    rng = random.Random(7)
+    prose = lambda n: " ".join("".join(rng.choices("abcdé", k=rng.randrange(2, 7))) for _ in range(n))
+    passage = prose(60)[:300]  # some fifty words, under 400 bytes
+    texts = [prose(100) + passage + prose(100), prose(80) + passage + prose(90), prose(200), None, passage + passage]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = digest(cut_repeats(docs, short=256)).orderBy("doc_id").collect()
+    assert [tuple(r)[1:5] for r in got] == brute(texts, 400)
+    assert [r.n_short for r in got] == [x[1] for x in brute(texts, 256)]
+    assert got[0].n_removed == 0 and got[0].n_short >= 256 and got[2].n_short == 0

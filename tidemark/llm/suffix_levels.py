@@ -313,9 +313,13 @@ def cut_repeats(
     anchor: int = ANCHOR,
     heavy: int = HEAVY,
     heavy_windows: int = BUCKET_WINDOWS,
+    short: int | None = None,
 ) -> DataFrame:
     """Each row of ``docs`` as a struct ``doc`` with n_bytes, n_removed, spans and the bytes ``kept``.
 
+    With ``short``, a column ``n_short`` also counts the bytes that repeats of ``short``
+    bytes would cover (anchor half of it); nothing is removed for it.
+
     ``spans`` are the maximal removed runs, as byte offsets in the text's UTF-8. A null
     text counts as empty. Texts shorter than ``length`` lose nothing. Repeated rows are
     repeated strings, so both lose them. Ids are not looked at, and other columns are
@@ -331,10 +335,14 @@ def cut_repeats(
         "repeat-rows",
     )
     per_row = repeated_spans(rows, length, anchor, heavy, heavy_windows)
+    if short is not None:
+        shorter = repeated_spans(rows, short, short // 2, heavy, heavy_windows).withColumnRenamed("found", "near")
+        per_row = per_row.join(shorter, "row", "full")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
+            near = batch.column("near").to_pylist() if short is not None else []
             for text, found in zip(batch.column("text").cast(pa.binary()), batch.column("found").to_pylist(), strict=True):
                 text = text.as_py() or b""
                 runs = _merged([(x["start"], x["end"]) for x in found or []])
@@ -346,22 +354,29 @@ def cut_repeats(
                 out.append((len(text), sum(e - s for s, e in runs), runs, b"".join(kept)))
             size, removed, runs, kept = zip(*out) if out else ([], [], [], [])
             span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc"),
-                    pa.array(size, pa.int64()),
-                    pa.array(removed, pa.int64()),
-                    pa.array([[{"start": s, "end": e} for s, e in x] for x in runs], pa.list_(span)),
-                    pa.array(kept, pa.binary()),
-                ],
-                names=["doc", "n_bytes", "n_removed", "spans", "kept"],
-            )
+            columns = [
+                batch.column("doc"),
+                pa.array(size, pa.int64()),
+                pa.array(removed, pa.int64()),
+                pa.array([[{"start": s, "end": e} for s, e in x] for x in runs], pa.list_(span)),
+                pa.array(kept, pa.binary()),
+            ]
+            names = ["doc", "n_bytes", "n_removed", "spans", "kept"]
+            if short is not None:
+                covered = [sum(e - s for s, e in _merged([(x["start"], x["end"]) for x in f or []])) for f in near]
+                columns.append(pa.array(covered, pa.int64()))
+                names.append("n_short")
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = (
         f"doc {rows.schema['doc'].dataType.simpleString()}, n_bytes long, n_removed long,"
         " spans array<struct<start: long, end: long>>, kept binary"
     )
-    return rows.join(per_row, "row", "left").select("doc", "text", "found").mapInArrow(trimmed(cut), schema)
+    carried = ["doc", "text", "found"]
+    if short is not None:
+        schema += ", n_short long"
+        carried.append("near")
+    return rows.join(per_row, "row", "left").select(*carried).mapInArrow(trimmed(cut), schema)
 
 
 def without_repeats(docs: DataFrame, text_col: str = "text", **settings) -> DataFrame:
@@ -396,11 +411,12 @@ def without_repeats(docs: DataFrame, text_col: str = "text", **settings) -> Data
 
 
 def digest(cut: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256) of what ``cut_repeats`` returns."""
+    """(id, n_bytes, n_removed, n_spans, kept_sha256, and n_short if asked) of what ``cut_repeats`` returns."""
     return cut.select(
         F.col("doc").getField(id_col).alias(id_col),
         "n_bytes",
         "n_removed",
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        *(["n_short"] if "n_short" in cut.columns else []),
     )
