@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.packing_slack import fill, pack, packed, packing_digest
+from tidemark.llm.packing_slack import fill, pack, packed, packing_digest, places
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -72,3 +72,10 @@ def test_digest_and_empty_table(spark):
     ids = [*Tokenizer.from_file(PATH).encode("a b", add_special_tokens=False).ids, 2]
     assert row.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes()) and row.offset == 0 and row.length == len(ids)
     assert packing_digest(docs.where(F.lit(False)), PATH).count() == 0
+
+
+def test_places_ends_when_no_window_fills(spark):
+    pieces = spark.createDataFrame([(i, 3000) for i in range(12)], "piece long, length long")
+    rows = places(pieces, group=4).collect()
+    assert sorted(r.piece for r in rows) == list(range(12))
+    assert all(r.offset == 0 for r in rows) and len({r.sequence_id for r in rows}) == 12

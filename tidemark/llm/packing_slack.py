@@ -149,9 +149,12 @@ def places(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> D
     schema = "piece long, sequence_id long, offset long, length long"
     rest, done = lengths.where(F.col("length") < capacity), whole
     count = before = rest.count()
+    again = False
     while count:
         groups = -(-count // group)
-        last = groups == 1 or count > before // 2 and before != count
+        # A round after one that placed no more than half of the rest, or none, is the last: it keeps open windows.
+        last = groups == 1 or again and count > before // 2
+        again = True
         packed = written(
             rest.withColumn("group", F.expr(f"pmod(xxhash64(piece, {count}), {groups})"))
             .groupBy("group")
