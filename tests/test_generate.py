@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.synthetic import Draw, digests, null_threshold
+from tidemark.operators.encode import encode_rows
 from tidemark.operators.generate import (
     ATTESTATION_STATUS,
     BUSINESS_CRITICALITY,
@@ -12,6 +13,7 @@ from tidemark.operators.generate import (
     SOURCE_TABLES,
     change_records,
     change_stream,
+    line_bytes,
 )
 from tidemark.operators.project import flatten
 from tidemark.schema import change_schema, key_names
@@ -107,6 +109,31 @@ def test_given_payload_columns(spark):
         change_records(spark.range(1), payload={"key_1": F.lit("x")})
 
 
+@pytest.mark.parametrize(
+    "settings",
+    [
+        {},
+        {"timestamp_ms": "id"},
+        {"count": 0, "null_percent": 0},
+        {"prefix": 'é"x', "count": 7, "null_percent": 100},
+        {"payload": {"asset": """CASE WHEN id % 2 = 0 THEN concat('a"é', id) END"""}, "count": 3},
+    ],
+)
+def test_line_sizes_without_drawing(spark, settings):
+    settings = dict(settings)
+    if "timestamp_ms" in settings:
+        settings["timestamp_ms"] = F.expr(settings["timestamp_ms"])
+    if "payload" in settings:
+        settings["payload"] = {name: F.expr(text) for name, text in settings["payload"].items()}
+    lines = encode_rows(change_records(spark.range(ROWS), mixed_text=True, **settings))
+    (mean,) = lines.select(F.avg(F.octet_length("value") + 1)).first()
+    assert abs(line_bytes(spark.range(ROWS), **settings) / mean - 1) < 0.005
+
+
+def test_line_size_of_an_empty_batch(spark):
+    assert line_bytes(spark.range(0)) > 0
+
+
 def test_default_time_is_now_in_millis(spark):
     got, now = (
         change_records(spark.range(1), count=1)

@@ -306,6 +306,16 @@ def test_generate_bounded(spark, tmp_path):
         generate_changes(spark)
 
 
+def test_a_generated_batch_is_drawn_once_and_rolls_at_its_target(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(RollingPolicy, "measured", lambda *_: pytest.fail("the lines were made to be measured"))
+    target = 100_000
+    job = LandingJob(str(tmp_path / "gen"), policy=RollingPolicy(max_part_bytes=target))
+    generate_changes(spark, job=job, ids=spark.range(0, 400, 1, 4), seed=3)
+    sizes = full_files(job.output_path)
+    assert len(sizes) > 3 and all(0.9 * target <= size <= 1.1 * target for size in sizes)
+    assert len(set(landed(spark, job.output_path))) == 400
+
+
 def test_every_run_makes_new_records(spark, tmp_path):
     ids = []
     for name in ("a", "b"):

@@ -1,5 +1,6 @@
 """Facts about plans and files that decide how the jobs behave on large data."""
 
+import gzip
 from pathlib import Path
 from types import SimpleNamespace
 
@@ -63,6 +64,22 @@ def test_files_go_to_the_shared_folder(spark, sf_dir):
     assert {p.name for p in made.iterdir()} == {"landed", "checkpoint"}
 
 
+def landed_files(spark, purpose, run):
+    """The files that a query has landed in a folder of its own, and its number of rows."""
+    shared = Path(spark.conf.get(ws.SETTING))
+    before = set(shared.glob(f"{purpose}-*"))
+    rows = run().count()
+    (made,) = set(shared.glob(f"{purpose}-*")) - before
+    return [p for p in (made / "landed").rglob("part-*") if not p.name.endswith(".crc")], rows
+
+
+def test_the_generator_job_lands_compressed(spark, sf_dir):
+    files, rows = landed_files(spark, "gen_job", lambda: CATALOG["gen_job_landing"].run(spark, sf_dir))
+    plain = sum(len(gzip.decompress(p.read_bytes())) for p in files)
+    assert rows == 1500 and plain > 3000 * rows
+    assert sum(p.stat().st_size for p in files) < 0.52 * plain
+
+
 def test_every_run_has_its_own_folder(spark):
     assert ws.workspace(spark, "x") != ws.workspace(spark, "x")
 

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.decode import decode_changes
 from tidemark.operators.encode import encode_rows
 from tidemark.operators.filters import require_keys
-from tidemark.operators.generate import change_records, change_stream
+from tidemark.operators.generate import change_records, change_stream, line_bytes
 from tidemark.operators.project import flatten
 from tidemark.plans.config import FlatLandingJob, LandingJob
 from tidemark.schema import change_schema
@@ -25,6 +25,9 @@ from tidemark.sinks.kafka import publish_kafka
 from tidemark.sources.kafka import KafkaConfig, kafka_values
 from tidemark.streaming.control import StreamControl
 
+# Settings of ``change_records`` that change the sizes of lines.
+SIZED_BY = ("timestamp_ms", "prefix", "count", "null_percent", "payload")
+
 
 def _values(spark: SparkSession, job: LandingJob, values: DataFrame | None) -> DataFrame:
     if values is not None:
@@ -99,7 +102,7 @@ def generate_changes(
 
     ``records`` makes that many and ends, ``ids`` one for each of its rows (by the column
     ``row_id`` of ``settings``); without either the stream runs on at
-    ``rows_per_second``. Texts are of letters and digits, or of hex digits without
+    ``rows_per_second``. A batch to files is told the mean size of its lines, so it draws them once. Texts are of letters and digits, or of hex digits without
     ``mixed_text``. Without a ``seed`` one is drawn, so that every run makes new records; a
     stream that starts again on its checkpoint should be given the seed it had.
     """
@@ -111,11 +114,15 @@ def generate_changes(
     if ids is None and records is None:
         rows = change_stream(spark, rows_per_second, **settings)
     else:
-        rows = change_records(spark.range(records) if ids is None else ids, **settings)
+        source = spark.range(records) if ids is None else ids
+        rows = change_records(source, **settings)
     lines = encode_rows(rows)
     if job is not None:
         control = job.control("generate_changes") if lines.isStreaming else None
-        return land_text(lines, job.output_path, control, job.policy, job.compression)
+        policy = job.policy
+        if not lines.isStreaming and policy.record_bytes is None and not policy.by_bytes and "keep" not in settings:
+            policy = replace(policy, record_bytes=line_bytes(source, **{k: v for k, v in settings.items() if k in SIZED_BY}))
+        return land_text(lines, job.output_path, control, policy, job.compression)
     control = None
     if lines.isStreaming:
         if not checkpoint:
