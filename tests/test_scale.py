@@ -8,6 +8,7 @@ import pytest
 from conftest import plan_of
 
 from tidemark.queries.catalog import CATALOG
+from tidemark.sinks.rolling import RollingPolicy
 from tidemark.streaming import workspace as ws
 
 BATCH_WITHOUT_AGGREGATION = [
@@ -80,6 +81,14 @@ def test_the_generator_job_lands_compressed(spark, sf_dir):
     assert sum(p.stat().st_size for p in files) < 0.52 * plain
 
 
+def test_generated_lines_are_made_once_and_land_small(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(RollingPolicy, "measured", lambda *_: pytest.fail("the lines were made to be measured"))
+    files, rows = landed_files(spark, "gen_landing", lambda: CATALOG["gen_landing"].run(spark, sf_dir))
+    lines = b"".join(gzip.decompress(p.read_bytes()) for p in files)
+    assert rows == 1500 == lines.count(b"\n")
+    assert sum(p.stat().st_size for p in files) < 0.375 * len(lines)
+
+
 def test_every_run_has_its_own_folder(spark):
     assert ws.workspace(spark, "x") != ws.workspace(spark, "x")
 
