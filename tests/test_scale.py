@@ -81,6 +81,14 @@ def test_the_generator_job_lands_compressed(spark, sf_dir):
     assert sum(p.stat().st_size for p in files) < 0.52 * plain
 
 
+def test_flat_json_lands_compressed_in_rolled_files(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(RollingPolicy, "options", lambda policy: {"maxRecordsPerFile": str(int(5e5 / policy.record_bytes))})
+    files, rows = landed_files(spark, "json_landing", lambda: CATALOG["json_landing"].run(spark, sf_dir))
+    plain = [len(gzip.decompress(p.read_bytes())) for p in files]
+    assert sum(p.stat().st_size for p in files) < 0.45 * sum(plain)
+    assert rows > 500 and len(plain) > 3 and max(plain) < 1.1 * 5e5
+
+
 def test_generated_lines_are_made_once_and_land_small(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(RollingPolicy, "measured", lambda *_: pytest.fail("the lines were made to be measured"))
     files, rows = landed_files(spark, "gen_landing", lambda: CATALOG["gen_landing"].run(spark, sf_dir))

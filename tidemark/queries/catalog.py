@@ -239,7 +239,9 @@ def filtered_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = inputs.damaged_messages(_event_stream(spark, sf_dir))
-    job = FlatLandingJob(**_job(spark, "json_landing"))
+    # A gzip file is read by one task, so the stream is told about the size of its lines and rolls its files by it.
+    policy = RollingPolicy(record_bytes=inputs.event_line_bytes(_events(spark, sf_dir)))
+    job = FlatLandingJob(**_job(spark, "json_landing"), policy=policy, compression="gzip")
     finish(land_flat_json(spark, job, messages.select("value")))
     return json_rows(spark, job.output_path, flat_schema())
 

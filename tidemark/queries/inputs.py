@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.json_text import to_json_line
-from tidemark.operators.generate import change_records
+from tidemark.operators.generate import change_records, line_bytes
 from tidemark.schema import ENVELOPE_FIELDS, PAYLOAD
 from tidemark.sources.files import parquet_stream
 
@@ -71,15 +71,20 @@ def as_source(df: DataFrame, value: Column) -> DataFrame:
     return df.select(EVENT_MESSAGE_ID, F.explode(F.array(value)).alias("value"))
 
 
+def _given(events: DataFrame) -> dict[str, object]:
+    """What a change record takes from its event."""
+    payload = {"asset": F.col("event_type"), "assigned_to": F.col("user_id")}
+    return {"timestamp_ms": epoch_millis(events, "ts"), "payload": payload}
+
+
 def event_changes(events: DataFrame) -> DataFrame:
     """``event_id`` and one change record per event."""
-    return change_records(
-        events,
-        row_id=EVENT_MESSAGE_ID,
-        timestamp_ms=epoch_millis(events, "ts"),
-        payload={"asset": F.col("event_type"), "assigned_to": F.col("user_id")},
-        keep=(EVENT_MESSAGE_ID,),
-    )
+    return change_records(events, row_id=EVENT_MESSAGE_ID, keep=(EVENT_MESSAGE_ID,), **_given(events))
+
+
+def event_line_bytes(events: DataFrame) -> float:
+    """Mean size of the lines that undamaged change records of a batch of events make."""
+    return line_bytes(events, **_given(events))
 
 
 EVENT_COLUMNS = (EVENT_MESSAGE_ID, "ts", "event_type", "user_id")
