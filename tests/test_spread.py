@@ -52,7 +52,7 @@ def test_one_row_group_goes_to_all_cores_without_a_shuffle(spark, tmp_path):
     assert sum(tasks) == 4000 and max(tasks) <= 4000 / spark.sparkContext.defaultParallelism
 
 
-@pytest.mark.parametrize("name", ["gen_change_records", "gen_mixed_text"])
+@pytest.mark.parametrize("name", ["gen_change_records", "gen_mixed_text", "json_encode"])
 def test_queries_read_their_tables_spread(spark, sf_dir, name):
     rows = CATALOG[name].run(spark, sf_dir)
     assert "Exchange" not in plan_of(rows)
